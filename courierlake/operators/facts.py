@@ -41,9 +41,10 @@ def fact_order_items(items: DataFrame, orders: DataFrame, menu: DataFrame | None
             .select(*GOLD_COLUMNS["fact_order_items"]))
 
 
-def fact_ratings(ratings: DataFrame, orders: DataFrame, drivers: DataFrame | None,
+def fact_ratings(ratings: DataFrame, orders: DataFrame | None, drivers: DataFrame | None,
                  restaurants: DataFrame | None, calendar: DataFrame | None) -> DataFrame:
-    rated = ratings.join(orders.select("order_id", "order_key"), "order_id", "left")
+    """One row per rating; the order key is null for a rating whose order is not in fact_orders."""
+    rated = with_key(ratings, orders, "order_id", "order_key")
     rated = with_key(rated, drivers, "driver_id", "driver_key")
     rated = with_key(rated, restaurants, "restaurant_id", "restaurant_key")
     rated = with_date_key(rated, calendar, F.to_date("rating_time"))

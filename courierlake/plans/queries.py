@@ -103,7 +103,7 @@ def restaurant_performance(g: Given) -> DataFrame:
 
 @query
 def driver_performance(g: Given) -> DataFrame:
-    return daily.driver_performance(g.silver_orders(), g.silver_ratings(), AS_OF)
+    return daily.driver_performance(g.silver_orders(), g.silver_ratings(restaurants=False), AS_OF)
 
 
 @query
@@ -204,7 +204,7 @@ def fact_restaurant_daily(g: Given) -> DataFrame:
 
 @query
 def fact_driver_daily(g: Given) -> DataFrame:
-    performance = daily.driver_performance(g.silver_orders(), g.silver_ratings(), AS_OF)
+    performance = daily.driver_performance(g.silver_orders(), g.silver_ratings(restaurants=False), AS_OF)
     return facts.fact_driver_daily(performance, g.dim_drivers(), g.calendar)
 
 
@@ -304,12 +304,12 @@ def dq_items(g: Given) -> DataFrame:
 
 @query
 def dq_ratings(g: Given) -> DataFrame:
-    return rules.quality_metrics(g.bronze_ratings(), rules.rating_bounds())
+    return rules.quality_metrics(g.bronze_ratings(restaurants=False), rules.rating_bounds())
 
 
 @query
 def rejected_ratings(g: Given) -> DataFrame:
-    broken = rules.rejected(g.bronze_ratings(), rules.rating_rules())
+    broken = rules.rejected(g.bronze_ratings(restaurants=False), rules.rating_rules())
     return broken.select("rating_id", F.array_join("reasons", "; ").alias("reasons"))
 
 
@@ -330,7 +330,7 @@ def layer_counts(g: Given) -> DataFrame:
     return reports.layer_counts({
         ("bronze", "bronze_orders"): g.bronze_orders(lines=False, drivers=False),
         ("bronze", "bronze_order_items"): g.bronze_order_items(),
-        ("bronze", "bronze_ratings"): g.bronze_ratings(),
+        ("bronze", "bronze_ratings"): g.bronze_ratings(restaurants=False),
         ("silver", "silver_orders"): g.silver_orders(drivers=False),
         ("gold", "fact_orders"): g.fact_orders(drivers=False, restaurants=False, dates=False),
         ("gold", "fact_order_items"): facts.fact_order_items(
@@ -422,13 +422,13 @@ def top_restaurants(g: Given) -> DataFrame:
 
 @query
 def top_restaurants_rated(g: Given) -> DataFrame:
-    marks = g.fact_ratings(drivers=False, restaurants=False, dates=False)
+    marks = g.fact_ratings(orders=False, drivers=False, restaurants=False, dates=False)
     return reports.top_restaurants_rated(_restaurant_facts(g), marks, g.dim_restaurants())
 
 
 @query
 def top_drivers(g: Given) -> DataFrame:
-    marks = g.fact_ratings(drivers=False, restaurants=False, dates=False)
+    marks = g.fact_ratings(orders=False, drivers=False, restaurants=False, dates=False)
     return reports.top_drivers(g.fact_orders(restaurants=False, dates=False), marks, g.dim_drivers())
 
 
@@ -439,12 +439,12 @@ def daily_trends(g: Given) -> DataFrame:
 
 @query
 def rating_summary(g: Given) -> DataFrame:
-    return reports.rating_summary(g.silver_ratings())
+    return reports.rating_summary(g.silver_ratings(restaurants=False))
 
 
 @query
 def top_rated(g: Given) -> DataFrame:
-    return reports.top_rated(g.fact_ratings(drivers=False, dates=False), g.dim_restaurants())
+    return reports.top_rated(g.fact_ratings(orders=False, drivers=False, dates=False), g.dim_restaurants())
 
 
 @query
@@ -454,4 +454,4 @@ def latest_summary(g: Given) -> DataFrame:
 
 @query
 def synth_stats(g: Given) -> DataFrame:
-    return reports.bronze_stats(g.bronze_orders(drivers=False), g.silver_ratings())
+    return reports.bronze_stats(g.bronze_orders(drivers=False), g.silver_ratings(restaurants=False))

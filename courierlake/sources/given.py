@@ -21,6 +21,21 @@ CALENDAR = dims.calendar_span(AS_OF, days_back=3650, days_ahead=730)
 STATUS = {"F": "delivered", "O": "cancelled", "P": "preparing"}
 
 
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp",
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+}
+
+
 class Given:
     """Lazy bronze, silver and gold frames over one folder of given tables."""
 
@@ -29,10 +44,8 @@ class Given:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        """A given table with its zoneless timestamps read as timestamps of the session zone (UTC)."""
-        raw = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        zoneless = [f.name for f in raw.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
-        return raw.withColumns({c: F.col(c).cast("timestamp") for c in zoneless})
+        """A given table under its declared schema: no footer job, and zoneless times read as UTC instants."""
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # --- bronze -------------------------------------------------------------
 
@@ -106,8 +119,11 @@ class Given:
             F.lit(True).alias("is_available"), F.col("p_type").alias("category"),
         ).join(sold_by, "item_id", "left")
 
-    def bronze_ratings(self) -> DataFrame:
-        places = self.bronze_orders(drivers=False).select("order_id", "restaurant_id", "order_time")
+    def bronze_ratings(self, restaurants: bool = True) -> DataFrame:
+        places = self.bronze_orders(lines=restaurants, drivers=False)
+        if not restaurants:
+            places = places.withColumn("restaurant_id", F.lit(None).cast("bigint"))
+        places = places.select("order_id", "restaurant_id", "order_time")
         return self.table("events").select(
             F.col("event_id").alias("rating_id"), F.col("event_id").alias("order_id"),
             F.col("user_id").alias("driver_id"),
@@ -136,8 +152,8 @@ class Given:
     def silver_order_items(self) -> DataFrame:
         return clean.clean_order_items(self.bronze_order_items(), AS_OF)
 
-    def silver_ratings(self) -> DataFrame:
-        return clean.clean_ratings(self.bronze_ratings(), AS_OF)
+    def silver_ratings(self, restaurants: bool = True) -> DataFrame:
+        return clean.clean_ratings(self.bronze_ratings(restaurants), AS_OF)
 
     def silver_restaurants(self) -> DataFrame:
         return clean.clean_restaurants(self.bronze_restaurants(), AS_OF)
@@ -176,10 +192,11 @@ class Given:
             self.dim_restaurants() if restaurants else None,
             self.calendar if dates else None)
 
-    def fact_ratings(self, drivers: bool = True, restaurants: bool = True, dates: bool = True) -> DataFrame:
+    def fact_ratings(self, orders: bool = True, drivers: bool = True, restaurants: bool = True,
+                     dates: bool = True) -> DataFrame:
         return facts.fact_ratings(
-            self.silver_ratings(),
-            self.fact_orders(drivers=False, restaurants=False, dates=False),
+            self.silver_ratings(restaurants),
+            self.fact_orders(drivers=False, restaurants=False, dates=False) if orders else None,
             self.dim_drivers() if drivers else None,
             self.dim_restaurants() if restaurants else None,
             self.calendar if dates else None)
@@ -187,7 +204,7 @@ class Given:
     def business_summary(self, period: str = "daily") -> DataFrame:
         return facts.fact_business_summary(
             self.fact_orders(drivers=False, restaurants=False),
-            self.fact_ratings(drivers=False, restaurants=False),
+            self.fact_ratings(orders=False, drivers=False, restaurants=False),
             self.dim_drivers(), self.dim_restaurants(), self.calendar, AS_OF, period)
 
     # --- history ------------------------------------------------------------

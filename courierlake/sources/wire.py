@@ -23,15 +23,17 @@ RENAMED = {
 
 def _decode(messages: DataFrame, wire: T.StructType, table: T.StructType, key: str) -> DataFrame:
     """`messages` has a `value` (string or binary) and may have an `arrival_time`."""
-    field_of = {RENAMED.get(f.name, f.name): f.name for f in wire.fields}
+    field_of = {RENAMED.get(f.name, f.name): F.col(f"m_{f.name}") for f in wire.fields}
     text = F.col("value").cast("string")
     carried = ["arrival_time"] if "arrival_time" in messages.columns else []
-    parsed = messages.select(*carried, text.alias("raw"), F.from_json(text, wire).alias("m"))
+    # the generator keeps the optimizer from parsing the text once per field
+    parsed = (messages.select(*carried, text.alias("raw"), F.inline(F.array(F.from_json(text, wire))))
+              .withColumnsRenamed({f.name: f"m_{f.name}" for f in wire.fields}))
     # try_cast gives null for text a type cannot hold, where cast would end the query
-    typed = {f.name: F.col("m")[field_of[f.name]].try_cast(f.dataType) for f in table.fields}
+    typed = {f.name: field_of[f.name].try_cast(f.dataType) for f in table.fields}
     unreadable = F.lit(False)
     for name, value in typed.items():
-        unreadable = unreadable | (F.col("m")[field_of[name]].isNotNull() & value.isNull())
+        unreadable = unreadable | (field_of[name].isNotNull() & value.isNull())
     return parsed.select(
         *[value.alias(name) for name, value in typed.items()], *carried, "raw",
         (typed[key].isNotNull() & ~unreadable).alias("decoded"))
