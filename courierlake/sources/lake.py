@@ -1,14 +1,15 @@
 """Tables of the three layers as Parquet folders that Spark reads and writes.
 
-A full rebuild goes to a new folder `v=<n>` and is then named in a small log, so
-readers see the old version or the new one, never a half-written folder, and a
-job may read the table it replaces. Changes of single days and stream batches
-use Spark's dynamic partition overwrite inside the current version.
+A full rebuild goes to a new folder `v=<n>`, and a pointer then names it: readers
+see the old version or the new one, never a half-written folder, and a job may
+read the table it replaces. The pointer has two slots written in turn, so while
+one is replaced the other still names the version before. Changes of single days
+and stream batches use Spark's dynamic partition overwrite inside the current
+version.
 """
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ from courierlake.schemas import LAYERS, PARTITIONED
 
 BATCH = "batch_id"
 LOADED = -1  # batch_id of rows that came by a load, not by a stream
-LOG_SCHEMA = "version bigint, row_count bigint, columns string"
+POINTER = "version bigint, columns string"
 
 
 class Lake:
@@ -30,44 +31,51 @@ class Lake:
 
     # --- versions -------------------------------------------------------------
 
-    def _entry(self, layer: str, table: str, version: int | None = None):
-        """The log line of a version, the newest by default; None when there is none."""
-        log = f"{self.path(layer, table)}/versions"
-        try:
-            lines = self.spark.read.schema(LOG_SCHEMA).json(log)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        if version is not None:
-            lines = lines.filter(F.col("version") == version)
-        found = lines.agg(F.max(F.struct("version", "row_count", "columns")).alias("e")).first()
-        return found.e
-
-    def _log(self, layer: str, table: str, version: int, rows: int, schema: T.StructType) -> None:
-        line = self.spark.createDataFrame([(version, rows, schema.json())], LOG_SCHEMA)
-        line.coalesce(1).write.mode("append").json(f"{self.path(layer, table)}/versions")
+    def _pointer(self, layer: str, table: str):
+        """Newest version and its columns; None when there is no such table."""
+        slots = f"{self.path(layer, table)}/current"
+        if not self._is_there(slots):
+            return None
+        found = (self.spark.read.schema(POINTER).option("ignoreMissingFiles", "true").json(slots)
+                 .select("version", "columns").collect())  # two rows at most
+        return max(found, key=lambda r: r.version, default=None)
+
+    def _is_there(self, path: str) -> bool:
+        """Whether a path exists on whatever file system the lake is on."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+
+    def _point(self, layer: str, table: str, version: int, schema: T.StructType) -> None:
+        line = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"), F.lit(schema.json()).alias("columns"))
+        line.coalesce(1).write.mode("overwrite").json(f"{self.path(layer, table)}/current/slot={version % 2}")
 
     def version(self, layer: str, table: str) -> int | None:
-        entry = self._entry(layer, table)
-        return None if entry is None else entry.version
+        pointer = self._pointer(layer, table)
+        return None if pointer is None else pointer.version
 
     def exists(self, layer: str, table: str) -> bool:
-        return self._entry(layer, table) is not None
+        return self._is_there(f"{self.path(layer, table)}/current")
 
     # --- reading --------------------------------------------------------------
 
-    def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
-        entry = self._entry(layer, table, version)
-        if entry is None:
-            raise ValueError(f"no table {layer}.{table}" + ("" if version is None else f" version {version}"))
-        schema = T.StructType.fromJson(json.loads(entry.columns))
-        # the logged schema spares the footer scan and serves a table without rows
-        return (self.spark.read.schema(schema).parquet(f"{self.path(layer, table)}/v={entry.version}")
+    def read_or_none(self, layer: str, table: str) -> DataFrame | None:
+        pointer = self._pointer(layer, table)
+        if pointer is None:
+            return None
+        schema = T.StructType.fromJson(json.loads(pointer.columns))
+        # the stored schema spares the footer scan and serves a table without rows
+        return (self.spark.read.schema(schema).parquet(f"{self.path(layer, table)}/v={pointer.version}")
                 .select(*schema.names))
 
-    def read_or_none(self, layer: str, table: str) -> DataFrame | None:
-        return self.read(layer, table) if self.exists(layer, table) else None
+    def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
+        """The table as it is now, or an earlier version of it."""
+        if version is not None:
+            return self.spark.read.parquet(f"{self.path(layer, table)}/v={version}")
+        df = self.read_or_none(layer, table)
+        if df is None:
+            raise ValueError(f"no table {layer}.{table}")
+        return df
 
     def safe_count(self, layer: str, table: str) -> int:
         """Rows in a table, 0 when it does not exist."""
@@ -106,7 +114,7 @@ class Lake:
             df, partitions = df.withColumn(BATCH, F.lit(LOADED).cast("bigint")), [*partitions, BATCH]
         version = (self.version(layer, table) or 0) + 1
         rows = self._write(df, f"{self.path(layer, table)}/v={version}", partitions)
-        self._log(layer, table, version, rows, df.schema)
+        self._point(layer, table, version, df.schema)
         return rows
 
     def replace_days(self, df: DataFrame, layer: str, table: str) -> int:
@@ -126,7 +134,7 @@ class Lake:
         version = self.version(layer, table)
         if version is None:
             version = 1
-            self._log(layer, table, version, 0, dated.schema)
+            self._point(layer, table, version, dated.schema)
         return self._write(dated, f"{self.path(layer, table)}/v={version}", [*partitions, BATCH], dynamic=True)
 
     def append(self, df: DataFrame, layer: str, table: str) -> None:
@@ -159,14 +167,13 @@ class Lake:
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         for layer, table in self.tables():
-            entry = self._entry(layer, table)
-            schema = T.StructType.fromJson(json.loads(entry.columns))
-            if self.read(layer, table).isEmpty():
-                typed = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+            df, version = self.read(layer, table), self.version(layer, table)
+            if df.isEmpty():
+                typed = ", ".join(f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in df.dtypes)
                 query = f"SELECT {typed} WHERE false"
             else:
-                names = ", ".join(f"`{n}`" for n in schema.names)
-                query = f"SELECT {names} FROM parquet.`{self.path(layer, table)}/v={entry.version}`"
+                names = ", ".join(f"`{n}`" for n in df.columns)
+                query = f"SELECT {names} FROM parquet.`{self.path(layer, table)}/v={version}`"
             self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS {query}")
 
     def describe(self) -> DataFrame:

@@ -1,0 +1,180 @@
+"""Streams over files: same result as the batch, resume, replay, lateness beyond the watermark."""
+
+import json
+import os
+import time
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from courierlake.operators import clean, daily
+from courierlake.schemas import BRONZE, WIRE_ORDER_ITEMS, WIRE_ORDERS
+from courierlake.sources import synth, wire
+from courierlake.sources.lake import Lake
+from courierlake.streaming import ingest, refine
+
+AS_OF = "2024-03-01 00:00:00"
+NOW = {"availableNow": True}
+
+
+@pytest.fixture(scope="module")
+def made(spark):
+    made = synth.synth_orders(spark, 60, 3, AS_OF)
+    columns = BRONZE["orders"].names
+    return spark.createDataFrame(made.orders.select(*columns).collect(), BRONZE["orders"])
+
+
+def messages(df, schema=WIRE_ORDERS):
+    return [r.value for r in wire.encode(df, schema).collect()]
+
+
+def put(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    hidden = os.path.join(folder, "." + name)
+    with open(hidden, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    os.rename(hidden, os.path.join(folder, name))
+
+
+def ingest_orders(lake, folder, checkpoint, then=None, table="orders"):
+    stream = ingest.file_messages(lake.spark, folder, maxFilesPerTrigger="1")
+    query = ingest.start_ingest(lake, table, stream, checkpoint=checkpoint, trigger=NOW, then=then)
+    return ingest.run_bounded([query], idle_seconds=60, max_seconds=120, poll_seconds=0.2)
+
+
+def test_ingest_resumes_and_quarantines(spark, tmp_path, made):
+    lake, folder, ckpt = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "in"), str(tmp_path / "ckpt")
+    lines = messages(made)
+    put(folder, "a.json", lines[:40] + ["{broken", json.dumps({"order_id": "x", "total_amount": "many"})])
+    assert ingest_orders(lake, folder, ckpt) == {"bronze_orders": 42}
+    put(folder, "b.json", lines[40:])
+    assert ingest_orders(lake, folder, ckpt) == {"bronze_orders": 20}
+    got = lake.read("bronze", "bronze_orders").select(*BRONZE["orders"].names)
+    assert sorted(map(str, got.collect())) == sorted(map(str, made.collect()))
+    bad = lake.read("bronze", "quarantine_orders").collect()
+    assert sorted(r.raw for r in bad) == ['{"order_id": "x", "total_amount": "many"}', "{broken"]
+    assert all(r.arrival_time is not None for r in bad)
+
+
+def test_items_stream(spark, tmp_path):
+    items = synth.synth_orders(spark, 20, 3, AS_OF).order_items
+    lake = Lake(spark, str(tmp_path / "lake"))
+    put(str(tmp_path / "in"), "a.json", messages(items, WIRE_ORDER_ITEMS))
+    ingest_orders(lake, str(tmp_path / "in"), str(tmp_path / "ckpt"), table="order_items")
+    got = lake.read("bronze", "bronze_order_items").select(*BRONZE["order_items"].names)
+    assert sorted(map(str, got.collect())) == sorted(map(str, items.select(*BRONZE["order_items"].names).collect()))
+    streamed = clean.clean_order_items(got, AS_OF)
+    assert sorted(map(str, streamed.collect())) == sorted(map(str, clean.clean_order_items(items, AS_OF).collect()))
+
+
+def test_decode_marks_what_cannot_be_read(spark):
+    def decoded(**over):
+        message = {"order_id": "o", "order_timestamp": "2024-01-01T10:00:00.123456", "total_amount": "12.5",
+                   "delivery_timestamp": None, **over}
+        return wire.decode_orders(spark.createDataFrame([(json.dumps(message),)], "value string")).first()
+
+    good = decoded()
+    assert good.decoded and good.order_time == datetime(2024, 1, 1, 10, 0, 0, 123456)
+    assert good.total_amount == 12.5 and good.delivery_time is None and good.tip_amount is None
+    assert not decoded(order_timestamp="yesterday").decoded
+    assert not decoded(order_id=None).decoded
+    none = wire.decode_orders(spark.createDataFrame([(None,)], "value string")).first()
+    assert not none.decoded
+
+
+def test_failure_in_a_batch_is_raised(spark, tmp_path, made):
+    def fail(batch, batch_id):
+        raise RuntimeError("downstream is broken")
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    put(str(tmp_path / "in"), "a.json", messages(made.limit(3)))
+    with pytest.raises(StreamingQueryException):
+        ingest_orders(lake, str(tmp_path / "in"), str(tmp_path / "ckpt"), then=fail)
+
+
+def test_idle_stream_is_stopped(spark, tmp_path, made):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    put(str(tmp_path / "in"), "a.json", messages(made.limit(3)))
+    query = ingest.start_ingest(lake, "orders", ingest.file_messages(spark, str(tmp_path / "in")),
+                                checkpoint=str(tmp_path / "ckpt"), trigger={"processingTime": "1 second"})
+    began = time.monotonic()
+    assert ingest.run_bounded([query], idle_seconds=8, max_seconds=60, poll_seconds=0.2) == {"bronze_orders": 3}
+    assert not query.isActive and time.monotonic() - began < 50
+
+
+def test_refresh_builds_silver_and_gold_once(spark, tmp_path, made):
+    lake, folder = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "in")
+    lines = messages(made)
+    put(folder, "a.json", lines[:30])
+    put(folder, "b.json", lines[30:] + lines[25:30])  # five orders are delivered twice
+    batches = []
+
+    def then(batch, batch_id):
+        batches.append((spark.createDataFrame(batch.collect(), batch.schema), batch_id))
+        refine.refresh_from_stream(lake, batch, batch_id)
+
+    ingest_orders(lake, folder, str(tmp_path / "ckpt"), then=then)
+
+    def state():
+        performance = lake.read("silver", "silver_daily_performance")
+        activity = refine.latest_activity(lake.read("gold", "customer_activity"))
+        return (sorted(map(str, performance.collect())), sorted(map(str, activity.collect())),
+                lake.safe_count("silver", "silver_scored_orders"), lake.safe_count("gold", "fact_orders_stream"))
+
+    before = state()
+    scored = clean.score_orders(made.withColumn("arrival_time", F.current_timestamp()), AS_OF)
+    want = daily.daily_performance(scored, AS_OF, lookback=None).drop("processing_timestamp")
+    got = lake.read("silver", "silver_daily_performance").select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    refine.refresh_from_stream(lake, *batches[-1])  # the last batch runs again
+    assert state() == before
+
+
+def order_rows(*days_and_ids):
+    return [(f"o{i}", f"c{i}", datetime(2024, 1, 1) + timedelta(days=d, hours=1), 10.0, False, 30.0)
+            for d, i in days_and_ids]
+
+
+STREAM_SCHEMA = ("order_id string, customer_id string, order_time timestamp, total_amount double, "
+                 "cancelled boolean, delivery_time_minutes double")
+
+
+def run_files(spark, tmp_path, files, transform, name):
+    folder = str(tmp_path / "rows")
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, STREAM_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(1.1)  # file order is by modification time
+    stream = spark.readStream.schema(STREAM_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    query = (transform(stream).writeStream.format("memory").queryName(name).outputMode("append")
+             .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    assert query.awaitTermination(120)
+    return spark.table(name)
+
+
+def test_windows_accept_late_rows_up_to_the_watermark(spark, tmp_path):
+    # two days late counts, eleven days late does not; the last days stay open. Spark drops late
+    # rows by the watermark of the batch before, hence the batch in between
+    files = [order_rows((0, 1), (2, 2)), order_rows((0, 3), (12, 4)), order_rows((12, 6)), order_rows((1, 5)),
+             order_rows((20, 7))]
+    out = run_files(spark, tmp_path, files, refine.daily_stream_performance, "windows")
+    got = {r.window_start.day: (r.total_orders, r.total_revenue) for r in out.collect()}
+    assert got == {1: (2, 20.0), 3: (1, 10.0), 13: (2, 20.0)}
+
+
+def test_windows_match_the_batch_form(spark):
+    df = spark.createDataFrame(order_rows((0, 1), (0, 2), (3, 3)), STREAM_SCHEMA)
+    got = {r.window_start.day: r.total_orders for r in refine.daily_windows(df).collect()}
+    assert got == {1: 2, 4: 1}
+
+
+def test_stream_dedup(spark, tmp_path):
+    files = [order_rows((0, 1), (0, 2), (0, 1)), order_rows((0, 2), (1, 3))]
+    out = run_files(spark, tmp_path, files, refine.dedup_stream, "deduped")
+    assert sorted(r.order_id for r in out.collect()) == ["o1", "o2", "o3"]
+
+
+def test_kafka_source_needs_its_connector(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        ingest.kafka_messages(spark, "nowhere:9092", "orders").isStreaming
