@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from courierlake.functions import scalars as S
 from courierlake.operators import clean, daily, dims, facts, late, reports, rules
-from courierlake.session import tune
+from courierlake.session import size_shuffles, tune
 from courierlake.sources.lake import Lake
 
 CLEANERS: dict[str, Callable] = {
@@ -84,6 +84,7 @@ def run_gold(lake: Lake, as_of, calendar_days: int = 730) -> dict[str, int]:
 def run_batch(lake: Lake, as_of, calendar_days: int = 730, max_invalid_rate: float = 0.0) -> dict[str, int]:
     """Silver, the quality gate, gold. Returns the rows written per table."""
     tune(lake.spark)
+    size_shuffles(lake.spark, f"{lake.root}/bronze")
     written = run_silver(lake, as_of)
     check_silver(lake, max_invalid_rate)
     return written | run_gold(lake, as_of, calendar_days)

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # A skewed partition is split even where that costs one more shuffle later.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Size of a reduce task, of a piece of a split hot partition, and of a written file.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # No cross product may appear unasked in a plan.
     "spark.sql.crossJoin.enabled": "false",
 }
@@ -42,6 +44,29 @@ def build_session(app_name: str = "courierlake", master: str | None = None, **co
     return tune(builder.getOrCreate())
 
 
+# One reduce task per this much input, before adaptive execution merges small ones.
+BYTES_PER_REDUCER = 256 * 1024**2
+MOST_REDUCERS = 100_000
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Start shuffles with as many partitions as the input asks for.
+
+    The default of 200 would make reducers of hundreds of gigabytes out of a
+    hundred terabytes. Adaptive execution merges partitions that turn out small,
+    so too many cost little; the number is never set below the session's own.
+    """
+    hadoop = spark._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        total += where.getFileSystem(hadoop).getContentSummary(where).getLength()
+    wanted = min(total // BYTES_PER_REDUCER, MOST_REDUCERS)
+    start = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
+    return start
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints."""
     root = spark.conf.get("spark.checkpoint.dir", None)

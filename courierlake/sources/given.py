@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from courierlake.functions.exact import cents
 from courierlake.operators import clean, dims, facts
-from courierlake.session import tune
+from courierlake.session import size_shuffles, tune
 
 AS_OF = "2001-07-01 00:00:00"
 FIRST_LOAD = "1995-01-01 00:00:00"
@@ -42,6 +42,7 @@ class Given:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = tune(spark)
         self.folder = folder.rstrip("/")
+        size_shuffles(spark, self.folder)
 
     def table(self, name: str) -> DataFrame:
         """A given table under its declared schema: no footer job, and zoneless times read as UTC instants."""
