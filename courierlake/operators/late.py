@@ -30,6 +30,13 @@ def classify_lateness(df: DataFrame, event: str, arrival: str, on_time_minutes:
     return df.withColumn("lateness_minutes", late).withColumn("lateness", label)
 
 
+def late_arrivals(df: DataFrame, event: str, arrival: str, as_of,
+                  lookback: str = f"{ON_TIME_MINUTES} MINUTES") -> DataFrame:
+    """Records that arrived within `lookback` of as_of, later than on time but still accepted."""
+    arrived = recent(df, arrival, as_of, lookback)
+    return classify_lateness(arrived, event, arrival).filter("lateness = 'Warning'")
+
+
 def lateness_summary(classified: DataFrame) -> DataFrame:
     return classified.groupBy("lateness").agg(
         F.count(F.lit(1)).alias("records"),

@@ -24,6 +24,7 @@ CLEANERS: dict[str, Callable] = {
     "ratings": clean.clean_ratings,
     "weather": clean.clean_weather,
 }
+STAGE = "bronze_orders_staged"
 CHECKS: dict[str, Callable] = {
     "orders": lambda: rules.required("order_id", "customer_id", "restaurant_id"),
     "order_items": lambda: [rules.positive("quantity"), rules.positive("item_price")],
@@ -106,6 +107,35 @@ def _days(df: DataFrame) -> list[date]:
     return [r[0] for r in df.distinct().limit(dims.MAX_CALENDAR_DAYS).collect()]
 
 
+def catch_up(lake: Lake, as_of, lookback: str = "30 MINUTES") -> list[date]:
+    """Find late orders among the arrivals of the last `lookback` and rebuild their days."""
+    bronze = lake.read("bronze", "bronze_orders")
+    return reprocess(lake, late.late_arrivals(bronze, "order_time", "arrival_time", as_of, lookback), as_of)
+
+
+def confirm_deliveries(lake: Lake, as_of, limit: int | None = None) -> list[date]:
+    """End-of-day reports: orders under way become delivered in bronze, and their days are rebuilt.
+
+    The rewritten days are staged first. Should the driver die while they replace
+    the old ones, `finish_confirmation` does that step again from the stage.
+    """
+    tune(lake.spark)
+    bronze = lake.read("bronze", "bronze_orders")
+    waiting = late.incomplete_orders(bronze, limit)
+    days = _days(waiting.select("order_date"))
+    if not days:
+        return []
+    affected = bronze.filter(F.col("order_date").isin(days))
+    lake.replace(late.apply_confirmations(affected, late.delivery_reports(waiting, as_of)), "bronze", STAGE)
+    return finish_confirmation(lake, as_of)
+
+
+def finish_confirmation(lake: Lake, as_of) -> list[date]:
+    staged = lake.read("bronze", STAGE)
+    lake.replace_days(staged, "bronze", "bronze_orders")
+    return reprocess(lake, staged, as_of)
+
+
 def reprocess(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
     """Rebuild the days that late bronze orders fall on; the same result as a full rebuild.
 

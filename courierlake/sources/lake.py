@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courierlake.schemas import LAYERS, PARTITIONED
+from courierlake.schemas import BRONZE, LAYERS, PARTITIONED
 
 BATCH = "batch_id"
 LOADED = -1  # batch_id of rows that came by a load, not by a stream
+ARRIVAL = "arrival_time"  # when the source took a record; null for loaded rows
+STREAMED = ("bronze_orders", "bronze_order_items")
 POINTER = "version bigint, columns string"
 
 
@@ -77,6 +79,10 @@ class Lake:
             raise ValueError(f"no table {layer}.{table}")
         return df
 
+    def sample(self, layer: str, table: str, n: int = 5) -> DataFrame:
+        """Any n rows, for a look at a table."""
+        return self.read(layer, table).limit(n)
+
     def safe_count(self, layer: str, table: str) -> int:
         """Rows in a table, 0 when it does not exist."""
         df = self.read_or_none(layer, table)
@@ -85,12 +91,22 @@ class Lake:
     # --- writing --------------------------------------------------------------
 
     @staticmethod
-    def _dated(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
-        if table not in PARTITIONED:
-            return df, []
-        column, source = PARTITIONED[table]
-        day = F.to_date(F.col(source).cast("string"), "yyyyMMdd") if source == "date_key" else F.to_date(source)
-        return df.withColumn(column, day), [column]
+    def _stored(df: DataFrame, table: str, batch_id: int | None = None) -> tuple[DataFrame, list[str]]:
+        """The frame with the columns a table adds to it, and the columns that split the table."""
+        partitions = []
+        if table in PARTITIONED:
+            column, source = PARTITIONED[table]
+            day = F.to_date(F.col(source).cast("string"), "yyyyMMdd") if source == "date_key" else F.to_date(source)
+            df, partitions = df.withColumn(column, day), [column]
+        if table in STREAMED and ARRIVAL not in df.columns:
+            df = df.withColumn(ARRIVAL, F.lit(None).cast("timestamp"))
+        if batch_id is not None:
+            df = df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        elif table in STREAMED and BATCH not in df.columns:
+            df = df.withColumn(BATCH, F.lit(LOADED).cast("bigint"))
+        if BATCH in df.columns:
+            partitions.append(BATCH)
+        return df, partitions
 
     @staticmethod
     def _write(df: DataFrame, path: str, partitions: list[str], dynamic: bool = False) -> int:
@@ -109,45 +125,42 @@ class Lake:
 
     def replace(self, df: DataFrame, layer: str, table: str) -> int:
         """The whole table anew; returns the rows written."""
-        df, partitions = self._dated(df, table)
-        if partitions and layer == "bronze":
-            df, partitions = df.withColumn(BATCH, F.lit(LOADED).cast("bigint")), [*partitions, BATCH]
+        df, partitions = self._stored(df, table)
         version = (self.version(layer, table) or 0) + 1
         rows = self._write(df, f"{self.path(layer, table)}/v={version}", partitions)
         self._point(layer, table, version, df.schema)
         return rows
 
     def replace_days(self, df: DataFrame, layer: str, table: str) -> int:
-        """The days that `df` has rows for, leaving all other days as they are."""
-        dated, partitions = self._dated(df, table)
-        if not partitions:
+        """The days that `df` has rows for, leaving all other days as they are.
+
+        In a table that streams write, a day is replaced per batch: give back
+        every row of the day with its batch_id.
+        """
+        if table not in PARTITIONED:
             raise ValueError(f"{table} is not split by day")
         version = self.version(layer, table)
         if version is None:
             return self.replace(df, layer, table)
-        return self._write(dated, f"{self.path(layer, table)}/v={version}", partitions, dynamic=True)
+        df, partitions = self._stored(df, table)
+        return self._write(df, f"{self.path(layer, table)}/v={version}", partitions, dynamic=True)
 
     def append_batch(self, df: DataFrame, layer: str, table: str, batch_id: int) -> int:
         """Rows of one stream batch. Writing the same batch again replaces it, so a retry adds nothing."""
-        dated, partitions = self._dated(df, table)
-        dated = dated.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        df, partitions = self._stored(df, table, batch_id)
         version = self.version(layer, table)
         if version is None:
             version = 1
-            self._point(layer, table, version, dated.schema)
-        return self._write(dated, f"{self.path(layer, table)}/v={version}", [*partitions, BATCH], dynamic=True)
+            self._point(layer, table, version, df.schema)
+        return self._write(df, f"{self.path(layer, table)}/v={version}", partitions, dynamic=True)
 
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         """Plain append to an existing table of the same columns."""
         target = self.read(layer, table)
-        extra = {BATCH} | ({PARTITIONED[table][0]} if table in PARTITIONED else set())
-        expected = [c for c in target.columns if c not in extra]
-        if sorted(df.columns) != sorted(expected):
-            raise ValueError(f"{layer}.{table} has columns {expected}, not {df.columns}")
-        dated, partitions = self._dated(df, table)
-        if BATCH in target.columns:
-            dated, partitions = dated.withColumn(BATCH, F.lit(LOADED).cast("bigint")), [*partitions, BATCH]
-        writer = dated.write.mode("append")
+        stored, partitions = self._stored(df, table)
+        if sorted(stored.columns) != sorted(target.columns):
+            raise ValueError(f"{layer}.{table} has columns {target.columns}, not {df.columns}")
+        writer = stored.write.mode("append")
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.parquet(f"{self.path(layer, table)}/v={self.version(layer, table)}")
@@ -157,6 +170,10 @@ class Lake:
         if not self.exists(layer, table):
             self.replace(self.spark.createDataFrame([], schema), layer, table)
 
+    def ensure_bronze(self) -> None:
+        for table, schema in BRONZE.items():
+            self.ensure("bronze", f"bronze_{table}", schema)
+
     # --- catalog --------------------------------------------------------------
 
     def tables(self) -> list[tuple[str, str]]:

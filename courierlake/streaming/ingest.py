@@ -56,7 +56,7 @@ def start_ingest(lake: Lake, table: str, messages: DataFrame, checkpoint: str |
         batch.persist()
         try:
             good = readable(batch)
-            lake.append_batch(good.drop("arrival_time"), "bronze", f"bronze_{table}", batch_id)
+            lake.append_batch(good, "bronze", f"bronze_{table}", batch_id)
             lake.append_batch(quarantined(batch), "bronze", f"quarantine_{table}", batch_id)
             if then is not None:
                 then(good, batch_id)

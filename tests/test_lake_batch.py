@@ -177,11 +177,27 @@ def test_confirmation_cycle(lake, tmp_path):
             df = df.withColumn("status", F.when(F.col("order_id") < "order_000010", F.lit("ready")).otherwise(F.col("status")))
         other.replace(df, "bronze", f"bronze_{t}")
     batch.run_batch(other, AS_OF)
-    bronze = other.read("bronze", "bronze_orders").select(*BRONZE["orders"].names)
-    waiting = late.incomplete_orders(bronze)
-    assert waiting.count() == 9
-    confirmed = late.apply_confirmations(bronze, late.delivery_reports(waiting, AS_OF))
-    touched = [tuple(r) for r in waiting.select("order_time").collect()]
-    other.replace(confirmed, "bronze", "bronze_orders")
-    batch.reprocess(other, spark.createDataFrame(touched, "order_time timestamp"), AS_OF)
-    assert other.read("gold", "fact_orders").filter("status = 'ready'").count() == 0
+    assert late.incomplete_orders(other.read("bronze", "bronze_orders")).count() == 9
+    days = batch.confirm_deliveries(other, AS_OF)
+    assert days and other.safe_count("bronze", "bronze_orders") == 600
+    facts = other.read("gold", "fact_orders")
+    assert facts.filter("status = 'ready'").count() == 0 and facts.count() == 600
+    assert facts.filter(F.col("delivery_time") == F.lit(AS_OF).cast("timestamp")).count() == 9
+    assert batch.confirm_deliveries(other, AS_OF) == []
+
+
+def test_late_arrivals_are_caught_up(lake, tmp_path):
+    spark = lake.spark
+    other = Lake(spark, str(tmp_path / "late"))
+    for t in BRONZE:
+        other.replace(lake.read("bronze", f"bronze_{t}").drop("order_date", "rating_date", "batch_id"),
+                      "bronze", f"bronze_{t}")
+    batch.run_batch(other, AS_OF)
+    more = synth.synth_orders(spark, 6, 3, AS_OF).orders.withColumns({
+        "order_id": F.concat(F.lit("late_"), "order_id"),
+        "arrival_time": F.lit(AS_OF).cast("timestamp") - F.expr("INTERVAL 5 MINUTES"),
+        "order_time": F.lit("2024-02-28 20:00:00").cast("timestamp")})
+    other.append_batch(more, "bronze", "bronze_orders", 0)
+    assert batch.catch_up(other, "2024-03-01 01:00:00") == []  # arrived too long before
+    assert [str(d) for d in batch.catch_up(other, AS_OF)] == ["2024-02-28"]
+    assert other.read("gold", "fact_orders").filter("order_id LIKE 'late%'").count() == 6

@@ -53,6 +53,7 @@ def test_ingest_resumes_and_quarantines(spark, tmp_path, made):
     assert ingest_orders(lake, folder, ckpt) == {"bronze_orders": 20}
     got = lake.read("bronze", "bronze_orders").select(*BRONZE["orders"].names)
     assert sorted(map(str, got.collect())) == sorted(map(str, made.collect()))
+    assert lake.read("bronze", "bronze_orders").filter("arrival_time IS NULL").isEmpty()
     bad = lake.read("bronze", "quarantine_orders").collect()
     assert sorted(r.raw for r in bad) == ['{"order_id": "x", "total_amount": "many"}', "{broken"]
     assert all(r.arrival_time is not None for r in bad)
