@@ -75,8 +75,9 @@ def _as_bronze(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE[table]])
 
 
-def synth_orders(spark: SparkSession, n: int, seed: int, as_of, partitions: int | None = None) -> Bronze:
-    """n orders over the 30 days before as_of, their lines, and ratings for most delivered ones."""
+def synth_orders(spark: SparkSession, n: int, seed: int, as_of, partitions: int | None = None,
+                 days: int = HISTORY_DAYS) -> Bronze:
+    """n orders over the `days` before as_of, their lines, and ratings for most delivered ones."""
     draw = _Draw(seed, F.col("id"))
     ids = spark.range(1, n + 1, 1, partitions) if partitions else spark.range(1, n + 1)
 
@@ -84,8 +85,8 @@ def synth_orders(spark: SparkSession, n: int, seed: int, as_of, partitions: int
     hour = (F.when(in_peak & (draw.unit("meal") < 0.5), draw.whole("lunch", *LUNCH_HOURS))
             .when(in_peak, draw.whole("dinner", *DINNER_HOURS))
             .otherwise(draw.whole("hour", *OPEN_HOURS)))
-    first_day = F.date_sub(F.to_date(S.instant(as_of)), HISTORY_DAYS)
-    day = F.date_add(first_day, draw.whole("day", 0, HISTORY_DAYS - 1))
+    first_day = F.date_sub(F.to_date(S.instant(as_of)), days)
+    day = F.date_add(first_day, draw.whole("day", 0, days - 1))
     opened = ids.select(
         "id", day.alias("day"), hour.alias("hour"),
         draw.pick("lines", LINE_COUNT_SHARES).alias("line_count"),
@@ -203,14 +204,14 @@ def synth_weather(spark: SparkSession, as_of, days: int = HISTORY_DAYS, seed: in
         F.round(draw.between("wind", 0.0, 25.0), 1).alias("wind_speed_kmh")), "weather")
 
 
-def synth_lake(lake, n: int, seed: int, as_of) -> dict[str, int]:
+def synth_lake(lake, n: int, seed: int, as_of, days: int = HISTORY_DAYS) -> dict[str, int]:
     """Fill the bronze layer of a lake; returns the rows written per table."""
-    made = synth_orders(lake.spark, n, seed, as_of)
+    made = synth_orders(lake.spark, n, seed, as_of, days=days)
     frames = {
         "orders": made.orders, "order_items": made.order_items, "ratings": made.ratings,
         "restaurants": synth_restaurants(lake.spark, seed=seed),
         "drivers": synth_drivers(lake.spark, seed=seed),
         "menu_items": synth_menu_items(lake.spark, seed=seed),
-        "weather": synth_weather(lake.spark, as_of, seed=seed),
+        "weather": synth_weather(lake.spark, as_of, days, seed),
     }
     return {t: lake.replace(df, "bronze", f"bronze_{t}") for t, df in frames.items()}

@@ -21,7 +21,7 @@ NOW = {"availableNow": True}
 
 @pytest.fixture(scope="module")
 def made(spark):
-    made = synth.synth_orders(spark, 60, 3, AS_OF)
+    made = synth.synth_orders(spark, 60, 3, AS_OF, days=3)
     columns = BRONZE["orders"].names
     return spark.createDataFrame(made.orders.select(*columns).collect(), BRONZE["orders"])
 
@@ -60,7 +60,7 @@ def test_ingest_resumes_and_quarantines(spark, tmp_path, made):
 
 
 def test_items_stream(spark, tmp_path):
-    items = synth.synth_orders(spark, 20, 3, AS_OF).order_items
+    items = synth.synth_orders(spark, 20, 3, AS_OF, days=3).order_items
     lake = Lake(spark, str(tmp_path / "lake"))
     put(str(tmp_path / "in"), "a.json", messages(items, WIRE_ORDER_ITEMS))
     ingest_orders(lake, str(tmp_path / "in"), str(tmp_path / "ckpt"), table="order_items")
