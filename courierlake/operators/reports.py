@@ -78,8 +78,10 @@ def status_breakdown(fact_orders: DataFrame, digits: int = 2) -> DataFrame:
     total = fact_orders.agg(F.count(F.lit(1))).scalar()
     return (
         fact_orders.groupBy("status").agg(F.count(F.lit(1)).alias("order_count"))
-        .withColumn("percentage", X.percent(F.col("order_count"), total, digits))
-        .orderBy(F.desc("order_count"), "status")
+        # a column of its own: the percentage names it more than once
+        .withColumn("total", total)
+        .withColumn("percentage", X.percent(F.col("order_count"), F.col("total"), digits))
+        .drop("total").orderBy(F.desc("order_count"), "status")
     )
 
 

@@ -102,11 +102,6 @@ def reconcile(lake: Lake, ready_at: int = 5_000) -> DataFrame:
     return reports.layer_counts(tables).withColumn("ready", F.col("row_count") >= ready_at)
 
 
-def _days(df: DataFrame) -> list[date]:
-    """Distinct days, bounded by the length of a calendar, for partition pruning."""
-    return [r[0] for r in df.distinct().limit(dims.MAX_CALENDAR_DAYS).collect()]
-
-
 def catch_up(lake: Lake, as_of, lookback: str = "30 MINUTES") -> list[date]:
     """Find late orders among the arrivals of the last `lookback` and rebuild their days."""
     bronze = lake.read("bronze", "bronze_orders")
@@ -122,7 +117,7 @@ def confirm_deliveries(lake: Lake, as_of, limit: int | None = None) -> list[date
     tune(lake.spark)
     bronze = lake.read("bronze", "bronze_orders")
     waiting = late.incomplete_orders(bronze, limit)
-    days = _days(waiting.select("order_date"))
+    days = dims.distinct_days(waiting.select("order_date"))
     if not days:
         return []
     affected = bronze.filter(F.col("order_date").isin(days))
@@ -144,7 +139,7 @@ def reprocess(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
     Returns the days rebuilt.
     """
     tune(lake.spark)
-    days = _days(late.touched_dates(late_orders, "order_time", as_of).filter(F.col("report_date").isNotNull()))
+    days = dims.distinct_days(late.touched_dates(late_orders, "order_time", as_of))
     if not days:
         return []
     today = F.to_date(S.instant(as_of))
@@ -172,7 +167,7 @@ def reprocess(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
 
     all_ratings = lake.read("silver", "silver_ratings")
     theirs = all_ratings.join(orders.select("order_id"), "order_id", "left_semi")
-    rating_days = _days(theirs.select("rating_date"))
+    rating_days = dims.distinct_days(theirs.select("rating_date"))
     if rating_days:
         old = of("gold", "fact_ratings", "rating_date", rating_days)
         others = old.join(orders.select("order_id"), "order_id", "left_anti").drop("rating_date")

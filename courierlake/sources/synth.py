@@ -148,6 +148,7 @@ def synth_orders(spark: SparkSession, n: int, seed: int, as_of, partitions: int
 
 # --- reference tables --------------------------------------------------------
 
+# Labels the reference tables draw from.
 CUISINES = ["Italian", "American", "Japanese", "Mexican", "Indian", "Chinese", "Thai", "Greek"]
 VEHICLES = ["car", "motorcycle", "bicycle"]
 CATEGORIES = ["main", "side", "salad", "soup"]

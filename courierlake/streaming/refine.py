@@ -51,8 +51,7 @@ def refresh_from_stream(lake: Lake, batch: DataFrame, batch_id: int) -> None:
         return
     lake.append_batch(clean.score_orders(batch, as_of), "silver", "silver_scored_orders", batch_id)
 
-    touched = batch.select(F.to_date("order_time").alias("d")).filter("d is not null").distinct()
-    days = [r.d for r in touched.limit(dims.MAX_CALENDAR_DAYS).collect()]
+    days = dims.distinct_days(batch.select(F.to_date("order_time")))
     scored = lake.read("silver", "silver_scored_orders")
     of_days = latest_orders(scored.filter(F.col("order_date").isin(days)))
     lake.replace_days(daily.daily_performance(of_days, as_of, lookback=None), "silver", "silver_daily_performance")
