@@ -10,7 +10,7 @@ from courierlake.functions import scalars as S
 from courierlake.functions.keys import numbered
 from courierlake.schemas import GOLD_COLUMNS
 
-# A calendar is broadcast, so its length is bounded: 100,000 days are 273 years.
+# No calendar is longer; 100,000 days are 273 years.
 MAX_CALENDAR_DAYS = 100_000
 OPEN_END = "9999-12-31"
 

@@ -115,8 +115,7 @@ def fact_business_summary(orders: DataFrame, ratings: DataFrame, drivers: DataFr
                  + X.tenths(F.col("delivery_rating")))
     satisfaction = slots(ratings, "rating_time").groupBy(*keys).agg(
         X.rounded_ratio(F.sum(all_marks), F.count(all_marks), 30, 2).alias("overall_satisfaction"))
-    in_calendar = F.broadcast(calendar.select("date_key"))
-    summary = totals.join(satisfaction, keys, "left").join(in_calendar, "date_key", "left_semi")
+    summary = totals.join(satisfaction, keys, "left").join(calendar.select("date_key"), "date_key", "left_semi")
     return summary.withColumns({
         "summary_key": hash_key("period_start", F.lit(period)),
         "time_period": F.lit(period),

@@ -1,10 +1,9 @@
 """Lookups of facts in dimensions.
 
-No side is hinted for broadcast except the calendar, whose length is bounded
-where it is built. For every other dimension Spark decides by size, from file
-sizes when planning and from real shuffle sizes while running; beyond its limit
-the join is shuffled, and adaptive execution splits the partitions of hot keys
-and of null keys over many tasks (see `session.tune`).
+No side is hinted for broadcast. Spark decides by size, from file sizes when
+planning and from real shuffle sizes while running; beyond its limit a join is
+shuffled, and adaptive execution splits the partitions of hot keys and of null
+keys over many tasks (see `session.tune`).
 """
 
 from pyspark.sql import Column, DataFrame
@@ -33,5 +32,5 @@ def with_key(facts: DataFrame, dim: DataFrame | None, business_key: str, surroga
 def with_date_key(facts: DataFrame, calendar: DataFrame | None, day: Column, how: str = "left") -> DataFrame:
     if calendar is None:
         return facts.withColumn("date_key", F.lit(None).cast("int"))
-    days = F.broadcast(calendar.select(F.col("full_date").alias("_full_date"), "date_key"))
+    days = calendar.select(F.col("full_date").alias("_full_date"), "date_key")
     return facts.join(days, day == F.col("_full_date"), how).drop("_full_date")

@@ -117,8 +117,7 @@ def daily_trends(fact_orders: DataFrame, calendar: DataFrame, days: int = 7) ->
     per_day = (fact_orders.filter(F.col("date_key").isNotNull()).groupBy("date_key")
                .agg(F.count(F.lit(1)).alias("daily_orders"),
                     _money(_cents("total_amount")).alias("daily_revenue")))
-    dated = per_day.join(F.broadcast(calendar.select("date_key", F.col("full_date").alias("order_date"))),
-                         "date_key")
+    dated = per_day.join(calendar.select("date_key", F.col("full_date").alias("order_date")), "date_key")
     return (dated.select("order_date", "daily_orders", "daily_revenue")
             .orderBy(F.desc("order_date")).limit(days))
 

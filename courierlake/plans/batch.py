@@ -104,7 +104,9 @@ def reconcile(lake: Lake, ready_at: int = 5_000) -> DataFrame:
 
 def catch_up(lake: Lake, as_of, lookback: str = "30 MINUTES") -> list[date]:
     """Find late orders among the arrivals of the last `lookback` and rebuild their days."""
-    bronze = lake.read("bronze", "bronze_orders")
+    # no accepted record is older than this, so older days need not be read
+    oldest = S.instant(as_of) - F.expr(f"INTERVAL {lookback}") - F.expr(f"INTERVAL {late.ACCEPTED_HOURS} HOURS")
+    bronze = lake.read("bronze", "bronze_orders").filter(F.col("order_date") >= F.to_date(oldest))
     return reprocess(lake, late.late_arrivals(bronze, "order_time", "arrival_time", as_of, lookback), as_of)
 
 

@@ -67,9 +67,6 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
     return start
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("spark.checkpoint.dir is not set; name a folder every executor can reach")
-    return root.rstrip("/")
+def checkpoint_root(spark: SparkSession, shared: str) -> str:
+    """The folder the cluster names for checkpoints, or one below `shared` where it names none."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or f"{shared}/checkpoints").rstrip("/")

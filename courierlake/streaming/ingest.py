@@ -65,7 +65,7 @@ def start_ingest(lake: Lake, table: str, messages: DataFrame, checkpoint: str |
 
     return (decoded.writeStream.foreachBatch(write)
             .outputMode("update")
-            .option("checkpointLocation", checkpoint or f"{checkpoint_root(lake.spark)}/ingest/{table}")
+            .option("checkpointLocation", checkpoint or f"{checkpoint_root(lake.spark, lake.root)}/ingest/{table}")
             .trigger(**(trigger or {"processingTime": TRIGGER}))
             .queryName(f"bronze_{table}")
             .start())

@@ -36,7 +36,7 @@ def daily_stream_performance(orders: DataFrame, ts: str = "order_time",
 
 def latest_orders(scored: DataFrame) -> DataFrame:
     """The newest state of each scored order: retries and status changes append, readers take the last."""
-    return dedup_latest(scored, ["order_id"], ["arrival_time", BATCH])
+    return dedup_latest(scored, ["order_id"], ["arrival_time", BATCH, "status", "delivery_time", "total_amount"])
 
 
 def refresh_from_stream(lake: Lake, batch: DataFrame, batch_id: int) -> None:

@@ -80,25 +80,13 @@ def test_same_result_for_any_shuffle_width(spark, small, name):
     assert len(seen) == 1
 
 
-# Reads of the given tables that Spark may not turn into a product or a one-task window.
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_products_and_only_calendar_broadcasts(spark, small, name):
+def test_no_products_no_forced_broadcasts_no_python(spark, small, name):
     with conf(spark, LARGE):
         plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    lines = plan.split("\n")
-    for i, line in enumerate(lines):
-        if "BroadcastExchange" not in line:
-            continue
-        depth = re.search(r"\w", line).start()
-        below = []
-        for after in lines[i + 1:]:
-            if re.search(r"\w", after) is None or re.search(r"\w", after).start() <= depth:
-                break
-            below.append(after)
-        under = "\n".join(below)
-        assert "Range (0, 1" in under and "FileScan" not in under, f"a broadcast of data:\n{under}"
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "BatchEvalPython",
+                 "ArrowEvalPython", "MapInPandas", "FlatMapGroups"):
+        assert node not in plan
 
 
 def test_hot_group_is_summed_before_the_shuffle(spark, small):
