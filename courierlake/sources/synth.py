@@ -185,7 +185,7 @@ def synth_drivers(spark: SparkSession, n: int = 20, seed: int = 0) -> DataFrame:
 def synth_menu_items(spark: SparkSession, n: int = 13, restaurants: int = RESTAURANTS, seed: int = 0) -> DataFrame:
     draw = _Draw(seed, F.col("id"))
     return _as_bronze(spark.range(1, n + 1).select(
-        _coded("item_", F.col("id"), 3).alias("item_id"),
+        _coded("item_", F.col("id"), 4).alias("item_id"),
         _coded("rest_", F.pmod(F.col("id"), F.lit(restaurants)) + 1, 3).alias("restaurant_id"),
         F.concat(F.lit("Dish "), F.col("id").cast("string")).alias("name"),
         F.lit("house recipe").alias("description"),
