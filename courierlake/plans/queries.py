@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courierlake.functions import exact as X
 from courierlake.functions import scalars as S
 from courierlake.functions.keys import numbered
 from courierlake.operators import clean, daily, dims, facts, late, merge, reports, rules
@@ -275,8 +276,7 @@ def late_confirmations(g: Given) -> DataFrame:
 def late_impact(g: Given) -> DataFrame:
     def summary(orders: DataFrame) -> DataFrame:
         return (orders.groupBy(F.to_date("order_time").alias("order_date"))
-                .agg(F.count(F.lit(1)).alias("orders"), (F.sum(F.round(F.col("total_amount") * 100).cast("bigint"))
-                                                         / F.lit(100.0)).alias("revenue")))
+                .agg(F.count(F.lit(1)).alias("orders"), X.sum_money(F.col("total_amount")).alias("revenue")))
 
     orders = g.bronze_orders(lines=False, drivers=False)
     return late.impact_report(summary(orders.filter("status <> 'preparing'")), summary(orders),

@@ -177,6 +177,16 @@ def test_rounded_ratio(spark, total, count, unit, digits, want):
     assert got == want and str(got) == str(want)
 
 
+def test_whole_units(spark):
+    values = [(0.0, 0), (0.29, 29), (-0.29, -29), (0.005, 1), (-0.005, -1), (1.005, 100), (19.99, 1999), (None, None),
+              (123456789.12, 12345678912)]
+    df = spark.createDataFrame(values, "x double, want bigint")
+    assert df.filter(~X.cents(F.col("x")).eqNullSafe(F.col("want"))).isEmpty()
+    assert dict(df.select(X.cents(F.col("x")).alias("c")).dtypes) == {"c": "bigint"}
+    seconds = spark.range(200_000).select(F.col("id"), (F.col("id") / F.lit(60.0)).alias("m"))
+    assert seconds.filter(X.whole_seconds(F.col("m")) != F.col("id")).isEmpty()
+
+
 def test_small_scalars(spark):
     row = spark.range(1).select(
         S.sla_breached(F.lit(45.0)).alias("at"), S.sla_breached(F.lit(45.1)).alias("over"),
