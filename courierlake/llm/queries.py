@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
 from .packing import pack
+from .simhash import near_duplicates
 from .token_files import token_digests
 
 
@@ -25,8 +26,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read(spark, sf_dir, "documents"), vocabulary(), end_id=2)
 
 
+def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op4_token_files)
+    f.__name__: f for f in (op3_best_fit_packing, op4_token_files, op5_covering_simhash)
 }
 
 ORACLE: dict[str, str] = {}
