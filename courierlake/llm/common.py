@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+ARROW_ROWS = 1_000
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -29,6 +30,9 @@ def ship(spark: SparkSession) -> None:
         base = os.path.join(tempfile.mkdtemp(prefix="ship-"), "courierlake")
         sc.addPyFile(shutil.make_archive(base, "zip", top, "courierlake"))
         sc._courierlake_shipped = True
+        # Whole texts are large rows: smaller Arrow batches than the default of 10,000 rows keep workers small.
+        if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
 def workspace(spark: SparkSession) -> str:

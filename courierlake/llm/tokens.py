@@ -25,7 +25,7 @@ class WordEncoder:
     kept between slices; beyond it those met in one slice only are forgotten.
     """
 
-    def __init__(self, path: str, remembered: int = 600_000):
+    def __init__(self, path: str, remembered: int = 300_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -48,7 +48,7 @@ class WordEncoder:
     def _core(self, word: str) -> list[int]:
         ids = self.cores.get(word)
         if ids is None:
-            if len(self.cores) > self.remembered // 2:
+            if len(self.cores) > self.remembered // 4:
                 self.cores.clear()
             ids = self.cores[word] = self._model(word)
         return ids
@@ -125,7 +125,7 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def slices(texts: pa.Array, most_bytes: int = 8 << 20):
+def slices(texts: pa.Array, most_bytes: int = 4 << 20):
     """(first row, rows) of pieces of about `most_bytes` of text, so a batch of long texts stays small in memory."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = (np.cumsum(sizes) - sizes) // most_bytes
