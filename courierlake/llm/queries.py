@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
+from .lattice import similar_vectors
 from .packing import pack
 from .simhash import near_duplicates
 from .token_files import token_digests
@@ -18,6 +19,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(read(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), vocabulary(), capacity=4096, end_id=1)
 
@@ -31,7 +36,7 @@ def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op4_token_files, op5_covering_simhash)
+    f.__name__: f for f in (op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash)
 }
 
 ORACLE: dict[str, str] = {}
