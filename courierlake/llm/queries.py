@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
 from .lattice import similar_vectors
+from .mixing import mix
 from .packing import pack
+from .quality import judge
 from .simhash import near_duplicates
 from .token_files import token_digests
+from .urls import judge_urls
 
 
 def vocabulary() -> str:
@@ -19,6 +22,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read(spark, sf_dir, "documents")).drop("lang", "source")
+
+
 def op2_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(read(spark, sf_dir, "embeddings"), least=0.9)
 
@@ -35,8 +42,61 @@ def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+#: Slots of a period per source; all other sources share REST_WEIGHT.
+WEIGHTS = {"src0": 6, "src1": 3, "src2": 3, "src3": 3, "src4": 3}
+REST_WEIGHT = 12
+
+
+def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read(spark, sf_dir, "documents"), WEIGHTS, REST_WEIGHT, block_chars=50_000)
+
+
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op10_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read(spark, sf_dir, "pages"), URL_RULES, default="allow")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash)
+    f.__name__: f for f in (op1_robust_outliers, op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash, op7_pfair_mix,
+                              op10_url_trie)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_e8_lattice": """
+        WITH RECURSIVE sound AS (
+          SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+        reach AS (
+          SELECT vec_id AS a, vec_id AS b FROM embeddings
+          UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        component AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+        degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, c.c AS component_id, e.vec_id = c.c AS kept
+        FROM embeddings e JOIN component c ON e.vec_id = c.a LEFT JOIN degree d ON e.vec_id = d.a""",
+    "op10_url_trie": r"""
+        WITH rules(action, host, path) AS (VALUES
+          ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+          ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+        rest AS (
+          SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+          FROM pages),
+        split AS (
+          SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        hit AS (
+          SELECT s.page_id, max_by(u.host || u.path, length(u.host) * 1000 + length(u.path)) AS rule,
+                 max_by(u.action, length(u.host) * 1000 + length(u.path)) AS action
+          FROM split s JOIN rules u ON (s.host = u.host OR ends_with(s.host, '.' || u.host))
+            AND starts_with(s.path, u.path) GROUP BY s.page_id)
+        SELECT s.page_id, s.host, s.path, h.rule, coalesce(h.action, 'allow') AS verdict
+        FROM split s LEFT JOIN hit h USING (page_id)""",
+}
