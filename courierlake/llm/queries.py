@@ -10,6 +10,7 @@ from .common import read
 from .lattice import similar_vectors
 from .mixing import mix
 from .packing import pack
+from .privacy import find
 from .quality import judge
 from .simhash import near_duplicates
 from .token_files import token_digests
@@ -51,6 +52,10 @@ def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents"), WEIGHTS, REST_WEIGHT, block_chars=50_000)
 
 
+def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find(read(spark, sf_dir, "documents"))
+
+
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -60,7 +65,7 @@ def op10_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_robust_outliers, op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash, op7_pfair_mix,
+    f.__name__: f for f in (op1_robust_outliers, op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash, op7_pfair_mix, op8_disclosure,
                               op10_url_trie)
 }
 
