@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read
 from .lattice import similar_vectors
+from .licenses import scan
 from .mixing import mix
 from .packing import pack
 from .privacy import find
@@ -56,6 +58,14 @@ def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(read(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents carry no path: a source is taken as a folder with one folder per language."""
+    files = read(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"),
+        "text")
+    return scan(files, least=0.8).withColumnRenamed("id", "doc_id")
+
+
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -64,10 +74,9 @@ def op10_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"), URL_RULES, default="allow")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_robust_outliers, op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash, op7_pfair_mix, op8_disclosure,
-                              op10_url_trie)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_robust_outliers, op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash, op7_pfair_mix,
+    op8_disclosure, op9_license_scan, op10_url_trie)}
 
 ORACLE: dict[str, str] = {
     "op2_e8_lattice": """
