@@ -102,7 +102,8 @@ def mixed(docs: DataFrame, weights: dict[str, int], rest: int, block_chars: int
     spark = docs.sparkSession
     order = settle(mix(docs, weights, rest, block_chars), workspace(spark), "order").filter("doc_id is not null")
     # Rows that repeat a doc_id share its first place.
-    first = order.groupBy("doc_id").agg(F.min(F.struct("slot", "before")).alias("_place"))
-    return (docs.join(first, "doc_id", "left").select(*(docs[c] for c in docs.columns), "_place")
-            .repartitionByRange(width(spark), F.col("_place").asc_nulls_last(), F.col("doc_id"))
-            .sortWithinPartitions(F.col("_place").asc_nulls_last(), F.col("doc_id")).drop("_place"))
+    first = order.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct("slot", "before")).alias("place"))
+    whole = docs.select("doc_id", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    at = [F.col("place").asc_nulls_last(), F.col("doc_id")]
+    return (whole.join(first, F.col("doc_id") == F.col("id"), "left").repartitionByRange(width(spark), *at)
+            .sortWithinPartitions(*at).select("row.*"))

@@ -154,14 +154,15 @@ def telling_terms(docs: DataFrame, folder: str, reach: int = 8, disclosed: float
 
 
 def found(docs: DataFrame, reach: int, disclosed: float, contexts: int) -> DataFrame:
-    """docs with `_base` and `_spans`, the base spans and all spans."""
+    """doc_id, text, `row` with all columns of docs, `_base` and `_spans`: the base spans and all spans."""
     folder = workspace(docs.sparkSession)
     told = settle(telling_terms(docs, folder, reach, disclosed, contexts), folder, "telling")
     patterns = told.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.concat(
         F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.sort_array(F.collect_set("term")), "|"),
         F.lit(r")(?![\p{L}\p{N}])")).alias("_pattern"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.join(patterns, F.col("doc_id") == F.col("_id"), "left").withColumn("_base", base_spans(text))
+    whole = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = whole.join(patterns, F.col("doc_id") == F.col("_id"), "left").withColumn("_base", base_spans(text))
     terms = F.transform(located(text, F.col("_pattern")), lambda x: F.struct(
         x["start"].alias("start"), F.lit(TERM).alias("kind"), x["stop"].alias("stop")))
     free = F.filter(terms, lambda t: ~F.exists("_base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
@@ -194,4 +195,5 @@ def sanitise(docs: DataFrame, reach: int = 8, disclosed: float = 0.9, contexts:
 
     clean = F.aggregate("_spans", start, step, lambda s: F.concat(
         F.array_join(s["out"], ""), F.substring("text", s["at"] + 1, F.length("text"))))
-    return rows.withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text"))).select(*docs.columns)
+    text = F.when(F.size("_spans") > 0, clean).otherwise(F.col("text"))
+    return rows.select(F.col("row").withField("text", text).alias("row")).select("row.*")

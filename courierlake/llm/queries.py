@@ -15,6 +15,7 @@ from .packing import pack
 from .privacy import find
 from .quality import judge
 from .simhash import near_duplicates
+from .suffixes import remove_repeats
 from .token_files import token_digests
 from .urls import judge_urls
 
@@ -45,13 +46,18 @@ def op5_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op6_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"), length=200)
+
+
 #: Slots of a period per source; all other sources share REST_WEIGHT.
 WEIGHTS = {"src0": 6, "src1": 3, "src2": 3, "src3": 3, "src4": 3}
 REST_WEIGHT = 12
+BLOCK_CHARS = 50_000
 
 
 def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents"), WEIGHTS, REST_WEIGHT, block_chars=50_000)
+    return mix(read(spark, sf_dir, "documents"), WEIGHTS, REST_WEIGHT, BLOCK_CHARS)
 
 
 def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +81,7 @@ def op10_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_robust_outliers, op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash, op7_pfair_mix,
+    op1_robust_outliers, op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash, op6_difference_cover, op7_pfair_mix,
     op8_disclosure, op9_license_scan, op10_url_trie)}
 
 ORACLE: dict[str, str] = {

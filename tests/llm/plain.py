@@ -78,3 +78,20 @@ def similar_vectors(vectors, least=0.9):
     n_links = np.bincount([i for link in links for i in link], minlength=len(ids)) if links else [0] * len(ids)
     return pd.DataFrame({"vec_id": ids, "n_links": [int(n) for n in n_links],
                          "component_id": [ids[r] for r in roots(len(ids), links)]})
+
+
+def repeats(texts, length=200):
+    """(n_bytes, n_removed, n_spans, kept) of each byte string."""
+    seen = {}
+    for t in texts:
+        for i in range(len(t) - length + 1):
+            seen[t[i:i + length]] = seen.get(t[i:i + length], 0) + 1
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t) + 1, bool)
+        for i in range(len(t) - length + 1):
+            if seen[t[i:i + length]] > 1:
+                gone[i:i + length] = True
+        left = bytes(b for b, g in zip(t, gone) if not g)
+        out.append((len(t), int(gone.sum()), int((gone[1:] & ~gone[:-1]).sum() + gone[0]), left))
+    return out
