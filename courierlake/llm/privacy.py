@@ -173,8 +173,11 @@ def found(docs: DataFrame, reach: int, disclosed: float, contexts: int) -> DataF
 def find(docs: DataFrame, reach: int = 8, disclosed: float = 0.9, contexts: int = 3) -> DataFrame:
     """doc_id, the number of base spans of each kind, base_sha256, spans."""
     rows = found(docs.select("doc_id", "text"), reach, disclosed, contexts)
-    counts = [F.size(F.filter("_base", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{k}")
-              for n, k in enumerate(KINDS)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(n).alias(f"n_{k}") for n, k in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(spelled(F.col("_base")), 256).alias("base_sha256"),
                        spelled(F.col("_spans")).alias("spans"))
 
