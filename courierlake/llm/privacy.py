@@ -137,20 +137,18 @@ def telling_terms(docs: DataFrame, folder: str, reach: int = 8, disclosed: float
              .groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("seen"))
              .filter(F.col("seen") >= contexts))
     pairs = settle(pairs.join(entities, "entity"), folder, "pairs")
-    terms = pairs.select("term").distinct()
-    # One pass over all texts counts the words and finds the occurrences of the candidate terms.
-    said = docs.select("doc_id", words(F.col("text")).alias("said"))
-    total = docs.select(F.sum(F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"),
-                                              lambda w: w != ""))).alias("n")).first()["n"] or 0
-    held = (said.select("doc_id", F.explode("said").alias("word")).filter(F.length("word") >= 4)
-            .select("doc_id", term_of(F.col("word")).alias("term")).join(terms, "term")
-            .groupBy("doc_id", "term").agg(F.count("*").alias("n")))
-    held = settle(held, folder, "held")
-    often = held.groupBy("term").agg(F.sum("n").alias("n_t"))
+    # Occurrences are summed per word before anything is joined; a common word is one row, whatever it stands in.
+    said = docs.select("doc_id", F.explode(words(F.col("text"))).alias("word"))
+    spoken = settle(said.groupBy("word").agg(F.count("*").alias("n")), folder, "words")
+    total = spoken.agg(F.sum("n")).first()[0] or 0
+    forms = spoken.withColumn("term", term_of(F.col("word"))).join(pairs.select("term").distinct(), "term")
+    forms = settle(forms.select("word", "term", "n"), folder, "forms")
+    often = forms.groupBy("term").agg(F.sum("n").alias("n_t"))
     content = -F.log2(F.col("n_e") / F.lit(float(max(total, 1))))
     share = 1 + F.log2(F.least(F.lit(1.0), F.col("n_et") / F.col("n_t"))) / content
     telling = pairs.join(often, "term").filter((content > 0) & (share >= disclosed)).select("term").distinct()
-    return held.join(telling, "term").select("doc_id", "term")
+    known = forms.join(telling, "term").select("word", "term")
+    return said.join(known, "word").select("doc_id", "term").distinct()
 
 
 def found(docs: DataFrame, reach: int, disclosed: float, contexts: int) -> DataFrame:
