@@ -1,8 +1,9 @@
 """Sums and means that do not depend on the order of rows.
 
 A sum of doubles changes with partition layout, and a mean that ends in an exact
-half then rounds either way. Money, ratings and minutes all have a smallest
-unit, so they are summed as whole numbers of that unit and divided once.
+half then rounds either way. Amounts are therefore summed as decimals with six
+places, which hold 10^26 rows of a million each, and rounded after the sum;
+ratings and minutes have a smallest unit and are summed as whole numbers of it.
 """
 
 from math import gcd
@@ -21,6 +22,20 @@ def cents(col: Column) -> Column:
     return nearest(col * 100)
 
 
+def exact(col: Column) -> Column:
+    """An amount as a decimal with six places; null where it is not a number."""
+    return col.try_cast("decimal(28,6)")
+
+
+def sum_exact(col: Column) -> Column:
+    return F.sum(exact(col))
+
+
+def money(total: Column) -> Column:
+    """An exact total in cents precision."""
+    return F.round(total, 2).cast("double")
+
+
 def tenths(col: Column) -> Column:
     return nearest(col * 10)
 
@@ -33,8 +48,8 @@ def whole_seconds(minutes: Column) -> Column:
 def rounded_ratio(total: Column, count: Column, unit: int, digits: int) -> Column:
     """total / (count * unit), rounded half away from zero to `digits` decimals.
 
-    `total` and `count` are whole numbers and the rounding is done on them; only
-    the last step makes a double. Null when nothing was counted.
+    `count` is a whole number and `total` one or a decimal; the rounding is done on
+    them, only the last step makes a double. Null when nothing was counted.
     """
     scale = 10**digits
     common = gcd(unit, scale)
@@ -45,11 +60,11 @@ def rounded_ratio(total: Column, count: Column, unit: int, digits: int) -> Colum
 
 
 def sum_money(col: Column) -> Column:
-    return F.sum(cents(col)) / F.lit(100.0)
+    return money(sum_exact(col))
 
 
 def mean_money(col: Column) -> Column:
-    return rounded_ratio(F.sum(cents(col)), F.count(col), 100, 2)
+    return rounded_ratio(sum_exact(col), F.count(exact(col)), 1, 2)
 
 
 def mean_minutes(col: Column) -> Column:

@@ -74,7 +74,7 @@ def impact_report(before: DataFrame, after: DataFrame, keys: Sequence[str],
                   measures: Sequence[str]) -> DataFrame:
     """What late rows changed: both values and the difference of each measure, for changed keys only.
 
-    Differences go through whole cents, so equal amounts differ by exactly zero.
+    Differences are taken on decimals, so equal amounts differ by exactly zero.
     """
     keys = list(keys)
     b = before.select(*keys, F.struct(*measures).alias("b"))
@@ -83,7 +83,7 @@ def impact_report(before: DataFrame, after: DataFrame, keys: Sequence[str],
 
     def delta(m: str) -> Column:
         old, new = F.coalesce(F.col("b")[m], F.lit(0)), F.coalesce(F.col("a")[m], F.lit(0))
-        return (X.cents(new) - X.cents(old)) / F.lit(100.0)
+        return (X.exact(new) - X.exact(old)).cast("double")
 
     changed = F.lit(False)
     for m in measures:

@@ -1,8 +1,10 @@
 """Keyed updates of tables that have no MERGE of their own."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,24 +21,28 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence) ->
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
            insert: bool = False) -> DataFrame:
-    """Target with `update_cols` taken from source where the keys match.
+    """Target with `update_cols` taken from source where the keys match, and new keys added with `insert`.
 
-    `source` must hold one row per key (see `dedup_latest`). A matched value
-    replaces the old one even when it is null. A small source is broadcast by
-    Spark's own size check, and then the target is not shuffled at all.
+    One join reads each side once. A matched value replaces the old one even when
+    it is null. A key that `source` holds twice stops the query, as MERGE does
+    (see `dedup_latest`); a null key matches nothing.
     """
     keys = list(keys)
-    patch = source.select(*keys, F.struct(*update_cols).alias("_new"))
-    joined = target.join(patch, keys, "left")
-    updated = joined.select(*[
-        F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
-        if c in update_cols else F.col(c)
-        for c in target.columns
-    ])
-    if not insert:
-        return updated
-    # the keys found are at most as many as the source has, so the anti join is small
-    found = target.join(source.select(*keys), keys, "left_semi").select(*keys)
-    fresh = source.join(found, keys, "left_anti")
-    return updated.unionByName(fresh.select(*[c for c in target.columns if c in source.columns]),
-                               allowMissingColumns=True)
+    fields = [c for c in target.columns if c in source.columns and c not in keys] if insert else list(update_cols)
+    given = source.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(*(F.col(c) for c in fields))).alias("_row"))
+    known = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    patch = given.select(*keys, F.when(known & (F.col("_copies") > 1), F.raise_error(
+        F.concat_ws(" ", F.lit("several source rows for key"), *(F.col(k).cast("string") for k in keys))))
+        .otherwise(F.col("_row")).alias("_new"))
+    held = target.withColumn("_held", F.lit(True))
+    joined = held.join(patch, keys, "full" if insert else "left")
+
+    def value(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        if c in update_cols:
+            return F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c))
+        return F.when(F.col("_held").isNull(), F.col("_new")[c]).otherwise(F.col(c)) if c in fields else F.col(c)
+
+    return joined.select(*(value(c).alias(c) for c in target.columns))

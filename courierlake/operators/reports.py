@@ -25,12 +25,8 @@ def top_k(df: DataFrame, measure: str, k: int, *tiebreak: str) -> DataFrame:
     return df.orderBy(F.desc(measure), *tiebreak).limit(k)
 
 
-def _cents(name: str) -> Column:
-    return F.sum(X.cents(F.col(name)))
-
-
-def _money(cents: Column) -> Column:
-    return cents / F.lit(100.0)
+def _total(name: str) -> Column:
+    return X.sum_exact(F.col(name))
 
 
 # --- counts across layers -------------------------------------------------
@@ -51,7 +47,7 @@ def layer_counts(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
 def metric_rows(fact_orders: DataFrame) -> DataFrame:
     """Order count and revenue as rows, from one pass over the facts."""
     totals = fact_orders.agg(
-        F.count(F.lit(1)).cast("double").alias("orders"), _money(_cents("total_amount")).alias("revenue"))
+        F.count(F.lit(1)).cast("double").alias("orders"), X.money(_total("total_amount")).alias("revenue"))
     return totals.select(F.inline(F.array(
         F.struct(F.lit("Orders").alias("metric"), F.col("orders").alias("value")),
         F.struct(F.lit("Revenue").alias("metric"), F.col("revenue").alias("value")),
@@ -116,7 +112,7 @@ def daily_trends(fact_orders: DataFrame, calendar: DataFrame, days: int = 7) ->
     """The newest calendar days that had orders."""
     per_day = (fact_orders.filter(F.col("date_key").isNotNull()).groupBy("date_key")
                .agg(F.count(F.lit(1)).alias("daily_orders"),
-                    _money(_cents("total_amount")).alias("daily_revenue")))
+                    X.money(_total("total_amount")).alias("daily_revenue")))
     dated = per_day.join(calendar.select("date_key", F.col("full_date").alias("order_date")), "date_key")
     return (dated.select("order_date", "daily_orders", "daily_revenue")
             .orderBy(F.desc("order_date")).limit(days))
@@ -158,11 +154,11 @@ def customer_value(orders: DataFrame) -> DataFrame:
     """Orders and spending of the average customer; rows without a customer count as one of them
     in both means, but not among the customers."""
     per_customer = delivered(orders).groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("order_count"), _cents("total_amount").alias("spent"))
+        F.count(F.lit(1)).alias("order_count"), _total("total_amount").alias("spent"))
     return per_customer.agg(
         F.count("customer_id").alias("total_customers"),
         X.rounded_ratio(F.sum("order_count"), F.count("order_count"), 1, 1).alias("avg_orders_per_customer"),
-        X.rounded_ratio(F.sum("spent"), F.count("spent"), 100, 2).alias("avg_customer_value"),
+        X.rounded_ratio(F.sum("spent"), F.count("spent"), 1, 2).alias("avg_customer_value"),
     )
 
 
@@ -182,28 +178,28 @@ def delivery_stats(orders: DataFrame, on_time_minutes: int = 30) -> DataFrame:
 def cuisine_performance(orders: DataFrame, restaurants: DataFrame, ratings: DataFrame) -> DataFrame:
     """Delivered orders, revenue and mean food rating per cuisine, over bronze frames."""
     sales = (delivered(orders).groupBy("restaurant_id")
-             .agg(F.count("order_id").alias("n"), _cents("total_amount").alias("revenue")))
+             .agg(F.count("order_id").alias("n"), _total("total_amount").alias("revenue")))
     marks = (ratings.groupBy("restaurant_id")
              .agg(F.sum(X.tenths(F.col("food_rating"))).alias("marks"), F.count("food_rating").alias("rated")))
     per_restaurant = (restaurants.select("restaurant_id", "cuisine_type")
                       .join(sales, "restaurant_id").join(marks, "restaurant_id", "left"))
     return per_restaurant.groupBy("cuisine_type").agg(
         F.sum("n").alias("total_orders"),
-        _money(F.sum("revenue")).alias("total_revenue"),
+        X.money(F.sum("revenue")).alias("total_revenue"),
         X.rounded_ratio(F.sum("marks"), F.sum("rated"), 10, 2).alias("avg_rating"),
     ).orderBy(F.desc("total_revenue"), "cuisine_type")
 
 
 def top_restaurants(fact_orders: DataFrame, restaurants: DataFrame, k: int = 10) -> DataFrame:
     per_key = delivered(fact_orders).groupBy("restaurant_key").agg(
-        F.count("order_id").alias("n"), _cents("total_amount").alias("revenue"),
+        F.count("order_id").alias("n"), _total("total_amount").alias("revenue"),
         F.count("total_amount").alias("priced"))
     named = per_key.join(
         current(restaurants).select("restaurant_key", "restaurant_name", "cuisine_type"), "restaurant_key")
     ranked = named.groupBy("restaurant_name", "cuisine_type").agg(
         F.sum("n").alias("total_orders"),
-        _money(F.sum("revenue")).alias("total_revenue"),
-        X.rounded_ratio(F.sum("revenue"), F.sum("priced"), 100, 2).alias("avg_order_value"),
+        X.money(F.sum("revenue")).alias("total_revenue"),
+        X.rounded_ratio(F.sum("revenue"), F.sum("priced"), 1, 2).alias("avg_order_value"),
     )
     return top_k(ranked, "total_revenue", k, "restaurant_name", "cuisine_type")
 
@@ -219,12 +215,12 @@ def top_restaurants_rated(fact_orders: DataFrame, fact_ratings: DataFrame, resta
     done = delivered(fact_orders).select("order_id", "restaurant_key", "total_amount")
     per_key = (done.join(_order_marks(fact_ratings, "food_rating"), "order_id", "left")
                .groupBy("restaurant_key")
-               .agg(F.count(F.lit(1)).alias("n"), _cents("total_amount").alias("revenue"),
+               .agg(F.count(F.lit(1)).alias("n"), _total("total_amount").alias("revenue"),
                     F.sum("marks").alias("marks"), F.sum("rated").alias("rated")))
     named = per_key.join(current(restaurants).select("restaurant_key", "restaurant_name"), "restaurant_key")
     ranked = named.groupBy("restaurant_name").agg(
         F.sum("n").alias("order_count"),
-        _money(F.sum("revenue")).alias("revenue"),
+        X.money(F.sum("revenue")).alias("revenue"),
         X.rounded_ratio(F.sum("marks"), F.sum("rated"), 10, 2).alias("avg_rating"),
     )
     return top_k(ranked, "revenue", k, "restaurant_name")

@@ -28,7 +28,11 @@ def secs(x: str) -> str:
 
 
 def money(x: str) -> str:
-    return f"sum({cents(x)}) / 1e2"
+    return f"CAST(round(sum(CAST({x} AS DECIMAL(28,6))), 2) AS DOUBLE)"
+
+
+def micros(x: str) -> str:
+    return f"sum(CAST(round(({x}) * 1e6) AS HUGEINT))"
 
 
 def ratio(total: str, count: str, unit: int, digits: int) -> str:
@@ -40,7 +44,7 @@ def ratio(total: str, count: str, unit: int, digits: int) -> str:
 
 
 def mean_money(x: str) -> str:
-    return ratio(f"sum({cents(x)})", f"count({x})", 100, 2)
+    return ratio(micros(x), f"count({x})", 10**6, 2)
 
 
 def mean_minutes(x: str) -> str:
@@ -51,6 +55,10 @@ def mean_mark(x: str, digits: int = 1) -> str:
     return ratio(f"sum({tenths(x)})", f"count({x})", 10, digits)
 
 
+def key(*cols: str) -> str:
+    return "md5(concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + "))"
+
+
 def rounded(x: str, digits: int) -> str:
     """Decimal rounding of a double as Spark does it: on its decimal digits."""
     return f"CAST(round(CAST({x} AS DECIMAL(28, 9)), {digits}) AS DOUBLE)"
@@ -198,7 +206,7 @@ STEPS: dict[str, tuple[list[str], str]] = {
                true AS active_flag, ingest_timestamp
         FROM silver_menu_items"""),
     "fact_orders": (["silver_orders", "dim_drivers", "dim_restaurants", "calendar"], f"""
-        SELECT o.order_id, c.date_key, d.driver_key, r.restaurant_key, o.order_time, o.delivery_time, o.status,
+        SELECT {key('o.order_id')} AS order_key, o.order_id, c.date_key, d.driver_key, r.restaurant_key, o.order_time, o.delivery_time, o.status,
                o.total_amount, {rounded('o.delivery_time_minutes', 1)} AS delivery_minutes,
                {rounded('o.prep_time_minutes', 1)} AS prep_time_minutes,
                coalesce(o.delivery_time_minutes > 45, false) AS sla_breached, o.cancelled, o.tip_amount,
@@ -206,15 +214,16 @@ STEPS: dict[str, tuple[list[str], str]] = {
         FROM silver_orders o LEFT JOIN dim_drivers d ON o.driver_id = d.driver_id
              LEFT JOIN dim_restaurants r ON o.restaurant_id = r.restaurant_id
              LEFT JOIN calendar c ON CAST(o.order_time AS DATE) = c.full_date"""),
-    "fact_items": (["silver_items", "silver_orders", "dim_menu_items", "calendar"], """
-        SELECT m.menu_item_key, i.quantity, i.item_price, i.extended_price, c.date_key, i.order_time, i.order_id
+    "fact_items": (["silver_items", "silver_orders", "dim_menu_items", "calendar"], f"""
+        SELECT {key('i.order_item_id')} AS order_item_key, {key('i.order_id')} AS order_key, m.menu_item_key, i.quantity, i.item_price, i.extended_price, c.date_key, i.order_time, i.order_id
         FROM silver_items i JOIN silver_orders o ON i.order_id = o.order_id
              LEFT JOIN dim_menu_items m ON i.item_id = m.item_id
              LEFT JOIN calendar c ON CAST(i.order_time AS DATE) = c.full_date"""),
-    "fact_ratings": (["silver_ratings", "dim_drivers", "dim_restaurants", "calendar"], """
-        SELECT d.driver_key, r.restaurant_key, x.driver_rating, x.food_rating, x.delivery_rating, x.rating_time,
+    "fact_ratings": (["silver_ratings", "silver_orders", "dim_drivers", "dim_restaurants", "calendar"], f"""
+        SELECT {key('x.rating_id')} AS rating_key,
+               CASE WHEN o.order_id IS NOT NULL THEN {key('o.order_id')} END AS order_key, d.driver_key, r.restaurant_key, x.driver_rating, x.food_rating, x.delivery_rating, x.rating_time,
                x.rating_type, c.date_key, x.order_id
-        FROM silver_ratings x LEFT JOIN dim_drivers d ON x.driver_id = d.driver_id
+        FROM silver_ratings x LEFT JOIN silver_orders o ON x.order_id = o.order_id LEFT JOIN dim_drivers d ON x.driver_id = d.driver_id
              LEFT JOIN dim_restaurants r ON x.restaurant_id = r.restaurant_id
              LEFT JOIN calendar c ON CAST(x.rating_time AS DATE) = c.full_date"""),
 }
@@ -306,7 +315,7 @@ def _daily_performance(where: str = "true") -> str:
 def _business_summary(period: str, unit: str) -> str:
     marks = f"{tenths('driver_rating')} + {tenths('food_rating')} + {tenths('delivery_rating')}"
     return f"""
-        SELECT date_key, '{period}' AS time_period, total_orders, total_revenue, avg_order_value,
+        SELECT {key('period_start', f"'{period}'")} AS summary_key, date_key, '{period}' AS time_period, total_orders, total_revenue, avg_order_value,
                (SELECT count(*) FROM silver_drivers) AS active_drivers,
                (SELECT count(*) FROM silver_restaurants) AS active_restaurants,
                coalesce(overall_satisfaction, 4) AS overall_satisfaction, avg_delivery_time, total_tips,
@@ -407,8 +416,8 @@ ORACLE: dict[str, str] = {
     "fact_orders": _whole("fact_orders"),
     "fact_order_items": _whole("fact_items"),
     "fact_ratings": _whole("fact_ratings"),
-    "fact_restaurant_daily": sql("""
-        SELECT d.restaurant_key, c.date_key, p.avg_prep_time, p.avg_rating, p.orders_count, p.cancel_rate,
+    "fact_restaurant_daily": sql(f"""
+        SELECT {key('p.restaurant_id', 'p.report_date')} AS restaurant_daily_key, d.restaurant_key, c.date_key, p.avg_prep_time, p.avg_rating, p.orders_count, p.cancel_rate,
                p.avg_tip, p.total_revenue, CAST(coalesce(s.n, 0) AS INTEGER) AS active_menu_items,
                p.ingest_timestamp
         FROM restaurant_performance p JOIN dim_restaurants d ON p.restaurant_id = d.restaurant_id
@@ -418,8 +427,8 @@ ORACLE: dict[str, str] = {
                         FROM silver_items i JOIN silver_orders o ON i.order_id = o.order_id GROUP BY 1, 2) s
                ON s.report_date = p.report_date AND s.restaurant_id = p.restaurant_id""",
         "restaurant_performance", "dim_restaurants", "calendar", "silver_items", "silver_orders"),
-    "fact_driver_daily": sql("""
-        SELECT d.driver_key, c.date_key, p.avg_rating, p.orders_completed, p.avg_delivery_time, p.total_tips,
+    "fact_driver_daily": sql(f"""
+        SELECT {key('p.driver_id', 'p.report_date')} AS driver_daily_key, d.driver_key, c.date_key, p.avg_rating, p.orders_completed, p.avg_delivery_time, p.total_tips,
                p.total_tips * 1.2e0 AS total_earnings, p.orders_completed * 0.75e0 AS hours_worked,
                p.ingest_timestamp
         FROM driver_performance p JOIN dim_drivers d ON p.driver_id = d.driver_id
@@ -430,7 +439,7 @@ ORACLE: dict[str, str] = {
     "business_summary_hourly": sql(_business_summary("hourly", "hour"), "fact_orders", "fact_ratings",
                                    "silver_drivers", "silver_restaurants"),
     "recent_fact_orders": sql(f"""
-        SELECT order_id, customer_id, coalesce(restaurant_key, -1) AS restaurant_key,
+        SELECT {key('order_id')} AS order_key, order_id, customer_id, coalesce(restaurant_key, -1) AS restaurant_key,
                coalesce(driver_key, -1) AS driver_key, CAST(order_time AS DATE) AS order_date, order_time,
                delivery_time, total_amount, tip_amount, delivery_time_minutes AS delivery_minutes,
                prep_time_minutes AS prep_minutes, cancelled, status, data_quality_score,
@@ -447,10 +456,11 @@ ORACLE: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "upsert_status": sql("""
         SELECT coalesce(o.order_id, e.order_id) AS order_id, o.customer_id,
-               CASE WHEN e.order_id IS NULL THEN o.status ELSE 'delivered' END AS status,
+               CASE WHEN e.order_id IS NULL THEN o.status ELSE e.event_type END AS status,
                CASE WHEN e.order_id IS NULL THEN o.delivery_time ELSE e.ts END AS delivery_time
         FROM bronze_orders o
-             FULL JOIN (SELECT event_id * 2 AS order_id, ts FROM events WHERE event_type = 'purchase') e
+             FULL JOIN (SELECT event_id // 3 * 2 AS order_id, event_type, ts FROM events
+                        QUALIFY row_number() OVER (PARTITION BY event_id // 3 ORDER BY ts DESC, event_id DESC) = 1) e
                ON o.order_id = e.order_id""", "bronze_orders"),
     "lateness": f"SELECT * FROM {EVENTS_ARRIVED}",
     "lateness_summary": f"""
@@ -543,10 +553,12 @@ ORACLE: dict[str, str] = {
         FROM bronze_orders WHERE {DELIVERED}""", "bronze_orders"),
     "customer_value": sql(f"""
         SELECT count(customer_id) AS total_customers, {ratio('sum(n)', 'count(n)', 1, 1)} AS avg_orders_per_customer,
-               {ratio('sum(spent)', 'count(spent)', 100, 2)} AS avg_customer_value
-        FROM (SELECT customer_id, count(*) AS n, sum({cents('total_amount')}) AS spent
+               {ratio('sum(spent)', 'count(spent)', 10**6, 2)} AS avg_customer_value
+        FROM (SELECT customer_id, count(*) AS n, {micros('total_amount')} AS spent
               FROM bronze_orders WHERE {DELIVERED} GROUP BY customer_id)""", "bronze_orders"),
-    "peak_hours": "SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS order_count FROM events GROUP BY 1",
+    "peak_hours": sql("""
+        SELECT CAST(hour(order_time) AS INTEGER) AS hour, count(*) AS order_count FROM bronze_orders GROUP BY 1""",
+        "bronze_orders"),
     "delivery_stats": sql(f"""
         SELECT {ratio('sum(s)', 'count(s)', 60, 1)} AS avg_delivery_time,
                {ratio('count(*) FILTER (WHERE s <= 1800) * 100', 'count(*)', 1, 1)} AS on_time_percentage,
@@ -554,10 +566,11 @@ ORACLE: dict[str, str] = {
         FROM (SELECT driver_id, date_diff('second', order_time, delivery_time) AS s FROM bronze_orders
               WHERE {DELIVERED} AND delivery_time IS NOT NULL)""", "bronze_orders"),
     "cuisine_performance": sql(f"""
-        SELECT n_name AS cuisine_type, CAST(sum(n) AS BIGINT) AS total_orders, sum(revenue) / 1e2 AS total_revenue,
+        SELECT n_name AS cuisine_type, CAST(sum(n) AS BIGINT) AS total_orders,
+               CAST(round(sum(revenue), 2) AS DOUBLE) AS total_revenue,
                {ratio('sum(marks)', 'sum(rated)', 10, 2)} AS avg_rating
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
-             JOIN (SELECT restaurant_id, count(*) AS n, sum({cents('total_amount')}) AS revenue FROM bronze_orders
+             JOIN (SELECT restaurant_id, count(*) AS n, sum(CAST(total_amount AS DECIMAL(28,6))) AS revenue FROM bronze_orders
                    WHERE {DELIVERED} GROUP BY restaurant_id) o ON s_suppkey = o.restaurant_id
              LEFT JOIN (SELECT restaurant_id, sum({tenths('food_rating')}) AS marks, count(*) AS rated
                         FROM silver_ratings GROUP BY restaurant_id) r ON s_suppkey = r.restaurant_id
