@@ -44,7 +44,7 @@ def _ingest(lake: Lake, args) -> None:
 
 
 def _late(lake: Lake, args) -> None:
-    print("days rebuilt:", batch.catch_up(lake, args.as_of, args.lookback))
+    print("days rebuilt:", batch.catch_up(lake, args.as_of))
 
 
 def _confirm(lake: Lake, args) -> None:
@@ -97,7 +97,6 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--idle-seconds", type=float, default=ingest.IDLE_SECONDS)
     p.add_argument("--max-seconds", type=float, default=ingest.MAX_SECONDS)
     p = job("late", _late)
-    p.add_argument("--lookback", default="30 MINUTES")
     p = job("confirm", _confirm)
     p.add_argument("--limit", type=int)
     for name, run in (("verify", _verify), ("describe", _describe), ("report", _report)):

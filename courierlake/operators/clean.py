@@ -35,7 +35,7 @@ def clean_orders(bronze: DataFrame, as_of) -> DataFrame:
 
 def clean_order_items(bronze: DataFrame, as_of) -> DataFrame:
     """Also serves a stream of items: nothing here needs more than the row."""
-    quantity = F.col("quantity").cast("int")
+    quantity = F.col("quantity").try_cast("int")
     price = F.round("item_price", 2)
     cleaned = rules.keep(bronze, rules.order_item_rules()).select(
         "order_item_id", "order_id", "item_id",

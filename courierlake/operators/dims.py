@@ -53,7 +53,7 @@ def calendar_of(bounds: DataFrame) -> DataFrame:
 def distinct_days(days: DataFrame) -> list[date]:
     """The days in a one-column frame, for partition pruning; refuses more than a calendar holds."""
     found = [r[0] for r in days.distinct().limit(MAX_CALENDAR_DAYS + 1).collect() if r[0] is not None]
-    if len(found) >= MAX_CALENDAR_DAYS:
+    if len(found) > MAX_CALENDAR_DAYS:
         raise ValueError(f"more than {MAX_CALENDAR_DAYS} days")
     return sorted(found)
 

@@ -19,6 +19,17 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence) ->
     return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
+def newest_state(df: DataFrame, key: str) -> DataFrame:
+    """One row per key of a bronze table: the last to arrive, by broker time, batch and then content.
+
+    Rows without the key stay, for the rules to reject.
+    """
+    first = [c for c in ("arrival_time", "batch_id") if c in df.columns]
+    order = [*first, *(c for c in df.columns if c not in (*first, key))]
+    keyed = dedup_latest(df.filter(F.col(key).isNotNull()), [key], [F.col(c).desc_nulls_last() for c in order])
+    return keyed.unionByName(df.filter(F.col(key).isNull()))
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
            insert: bool = False) -> DataFrame:
     """Target with `update_cols` taken from source where the keys match, and new keys added with `insert`.

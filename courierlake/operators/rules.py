@@ -48,8 +48,10 @@ def order_rules() -> list[Rule]:
 
 def order_item_rules() -> list[Rule]:
     # the whole-number quantity is what must be positive: 0.5 is no item
-    whole = Rule("quantity is not positive", F.col("quantity").cast("int") > 0)
-    return [*required("order_item_id", "order_id", "item_id"), whole, positive("item_price")]
+    whole = Rule("quantity is not positive", F.coalesce(F.col("quantity").try_cast("int"), F.lit(0)) > 0)
+    # and the price as it is stored: 0.004 becomes nothing
+    priced = Rule("item_price is not positive", F.round("item_price", 2) > 0)
+    return [*required("order_item_id", "order_id", "item_id"), whole, priced]
 
 
 def menu_item_rules() -> list[Rule]:

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courierlake.functions import scalars as S
-from courierlake.operators import clean, daily, dims, facts, late, reports, rules
+from courierlake.operators import clean, daily, dims, facts, late, merge, reports, rules
 from courierlake.session import size_shuffles, tune
-from courierlake.sources.lake import Lake
+from courierlake.sources.lake import ARRIVAL, Lake
 
 CLEANERS: dict[str, Callable] = {
     "orders": clean.clean_orders,
@@ -25,6 +25,14 @@ CLEANERS: dict[str, Callable] = {
     "weather": clean.clean_weather,
 }
 STAGE = "bronze_orders_staged"
+TOUCHED = "rebuild_orders"  # orders of a rebuild, as they were and as they are
+SEEN = "arrivals_seen"  # newest arrival that silver and gold hold
+KEYS = {"orders": "order_id", "order_items": "order_item_id", "ratings": "rating_id"}
+BRONZE_RULES: dict[str, Callable] = {
+    "orders": rules.order_rules,
+    "order_items": rules.order_item_rules,
+    "ratings": rules.rating_rules,
+}
 CHECKS: dict[str, Callable] = {
     "orders": lambda: rules.required("order_id", "customer_id", "restaurant_id"),
     "order_items": lambda: [rules.positive("quantity"), rules.positive("item_price")],
@@ -32,10 +40,43 @@ CHECKS: dict[str, Callable] = {
 }
 
 
+def bronze_states(lake: Lake, name: str) -> DataFrame | None:
+    """A bronze table with one row per order, line or rating, whatever was delivered again."""
+    bronze = lake.read_or_none("bronze", f"bronze_{name}")
+    return bronze if bronze is None or name not in KEYS else merge.newest_state(bronze, KEYS[name])
+
+
+def check_bronze(lake: Lake, as_of, max_rate: float) -> DataFrame:
+    """Metrics of the bronze tables, stored with rejected rows; raises before anything is published.
+
+    A rule fails the gate when more than `max_rate` of its rows break it. Lines and
+    ratings of unknown orders are counted beside the rules.
+    """
+    found = None
+    for name, make in BRONZE_RULES.items():
+        rows = bronze_states(lake, name)
+        if rows is None:
+            continue
+        metrics = rules.quality_metrics(rows, make())
+        if name != "orders" and lake.exists("bronze", "bronze_orders"):
+            lost = rules.orphans(rows, bronze_states(lake, "orders"), "order_id").agg(
+                F.lit("order_id has no order").alias("rule"), F.lit(None).cast("bigint").alias("total_rows"),
+                F.count(F.lit(1)).alias("invalid_rows"))
+            metrics = metrics.unionByName(lost)
+        named = metrics.select(F.lit(name).alias("table_name"), "rule", "total_rows", "invalid_rows",
+                               S.instant(as_of).alias("checked_at"))
+        found = named if found is None else found.unionByName(named)
+        bad = rules.rejected(rows, make()).withColumn("checked_at", S.instant(as_of))
+        lake.replace(bad, "bronze", f"rejected_{name}")
+    lake.append_or_create(found.coalesce(1), "bronze", "quality_metrics")
+    now = lake.read("bronze", "quality_metrics").filter(F.col("checked_at") == S.instant(as_of))
+    return rules.gate(now, max_rate)
+
+
 def run_silver(lake: Lake, as_of) -> dict[str, int]:
     written = {}
     for name, cleaner in CLEANERS.items():
-        bronze = lake.read_or_none("bronze", f"bronze_{name}")
+        bronze = bronze_states(lake, name)
         if bronze is not None:
             written[name] = lake.replace(cleaner(bronze, as_of), "silver", f"silver_{name}")
     orders, ratings = lake.read("silver", "silver_orders"), lake.read("silver", "silver_ratings")
@@ -82,13 +123,28 @@ def run_gold(lake: Lake, as_of, calendar_days: int = 730) -> dict[str, int]:
     return written
 
 
-def run_batch(lake: Lake, as_of, calendar_days: int = 730, max_invalid_rate: float = 0.0) -> dict[str, int]:
-    """Silver, the quality gate, gold. Returns the rows written per table."""
+def run_batch(lake: Lake, as_of, calendar_days: int = 730, max_invalid_rate: float = 0.1) -> dict[str, int]:
+    """The bronze gate, silver, gold. Returns the rows written per table."""
     tune(lake.spark)
     size_shuffles(lake.spark, f"{lake.root}/bronze")
+    newest = newest_arrival(lake)
+    check_bronze(lake, as_of, max_invalid_rate)
     written = run_silver(lake, as_of)
-    check_silver(lake, max_invalid_rate)
-    return written | run_gold(lake, as_of, calendar_days)
+    check_silver(lake)
+    written |= run_gold(lake, as_of, calendar_days)
+    mark_seen(lake, newest)
+    return written
+
+
+def newest_arrival(lake: Lake) -> str | None:
+    bronze = lake.read_or_none("bronze", "bronze_orders")
+    if bronze is None or ARRIVAL not in bronze.columns:
+        return None
+    return bronze.agg(F.max(ARRIVAL).cast("string")).first()[0]
+
+
+def mark_seen(lake: Lake, newest: str | None) -> None:
+    lake.replace(lake.spark.range(1).select(F.lit(newest).cast("timestamp").alias(ARRIVAL)), "bronze", SEEN)
 
 
 def reconcile(lake: Lake, ready_at: int = 5_000) -> DataFrame:
@@ -102,12 +158,25 @@ def reconcile(lake: Lake, ready_at: int = 5_000) -> DataFrame:
     return reports.layer_counts(tables).withColumn("ready", F.col("row_count") >= ready_at)
 
 
-def catch_up(lake: Lake, as_of, lookback: str = "30 MINUTES") -> list[date]:
-    """Find late orders among the arrivals of the last `lookback` and rebuild their days."""
-    # no accepted record is older than this, so older days need not be read
-    oldest = S.instant(as_of) - F.expr(f"INTERVAL {lookback}") - F.expr(f"INTERVAL {late.ACCEPTED_HOURS} HOURS")
-    bronze = lake.read("bronze", "bronze_orders").filter(F.col("order_date") >= F.to_date(oldest))
-    return reprocess(lake, late.late_arrivals(bronze, "order_time", "arrival_time", as_of, lookback), as_of)
+def catch_up(lake: Lake, as_of) -> list[date]:
+    """Rebuild the days of all orders that arrived since the last run, however late they are.
+
+    The newest arrival that a run has taken in is stored, so nothing falls between
+    two runs. Counts by lateness are kept per run in `lateness_runs`.
+    """
+    seen = lake.read_or_none("bronze", SEEN)
+    since = None if seen is None else seen.first()[0]
+    arrived = lake.read("bronze", "bronze_orders").filter(F.col(ARRIVAL) <= S.instant(as_of))
+    if since is not None:
+        arrived = arrived.filter(F.col(ARRIVAL) > F.lit(str(since)).cast("timestamp"))
+    newest = arrived.agg(F.max(ARRIVAL).cast("string")).first()[0]
+    if newest is None:
+        return []
+    summary = late.lateness_summary(late.classify_lateness(arrived, "order_time", ARRIVAL))
+    lake.append_or_create(summary.withColumn("run_at", S.instant(as_of)).coalesce(1), "bronze", "lateness_runs")
+    days = reprocess(lake, arrived, as_of)
+    mark_seen(lake, newest)
+    return days
 
 
 def confirm_deliveries(lake: Lake, as_of, limit: int | None = None) -> list[date]:
@@ -133,56 +202,84 @@ def finish_confirmation(lake: Lake, as_of) -> list[date]:
     return reprocess(lake, staged, as_of)
 
 
+def days_to_rebuild(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
+    """The days on which the late orders fall, those they have stood on so far, and those of orders
+    that an earlier run dated to its own day because theirs was still to come."""
+    today = F.to_date(S.instant(as_of))
+    ids = late_orders.select("order_id").distinct()
+    bronze = lake.read("bronze", "bronze_orders").select("order_id", F.least("order_date", today).alias("own"),
+                                                         (F.col("order_date") > today).alias("ahead"))
+    days = late.touched_dates(late_orders, "order_time", as_of)
+    days = days.unionAll(bronze.join(ids, "order_id", "left_semi").select("own"))
+    days = days.unionAll(bronze.filter("ahead").select("own"))
+    silver = lake.read_or_none("silver", "silver_orders")
+    if silver is not None:
+        days = days.unionAll(silver.join(ids, "order_id", "left_semi").select("order_date"))
+        moved = (silver.filter("order_time = ingest_timestamp").select("order_id", "order_date")
+                 .join(bronze, "order_id").filter("own <> order_date"))
+        days = days.unionAll(moved.select(F.explode(F.array("own", "order_date"))))
+    return dims.distinct_days(days)
+
+
 def reprocess(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
-    """Rebuild the days that late bronze orders fall on; the same result as a full rebuild.
+    """Rebuild the days that late bronze orders touch; the same result as a full rebuild.
 
-    `late_orders` needs `order_time` and must already be in bronze. Lines carry
-    the time of their order; ratings may fall on later days and are found by order.
-    Returns the days rebuilt.
+    `late_orders` needs `order_id` and `order_time` and must already be in bronze.
+    Lines stand on the day they carry, which is later than today for an order dated
+    ahead; ratings may fall on later days and are found by order. Returns the days rebuilt.
     """
     tune(lake.spark)
-    days = dims.distinct_days(late.touched_dates(late_orders, "order_time", as_of))
-    if not days:
+    if late.touched_dates(late_orders, "order_time", as_of).isEmpty():
         return []
+    days = days_to_rebuild(lake, late_orders, as_of)
     today = F.to_date(S.instant(as_of))
+    bronze_items = lake.read("bronze", "bronze_order_items")
+    ahead = dims.distinct_days(bronze_items.filter(F.col("order_date") > today).select("order_date"))
+    line_days = sorted({*days, *ahead})
 
     def of(layer: str, table: str, partition: str, which: list[date] = days) -> DataFrame:
         return lake.read(layer, table).filter(F.col(partition).isin(which))
 
-    for name in ("orders", "order_items"):
+    def put(df: DataFrame, layer: str, table: str, which: list[date] = days) -> None:
+        lake.replace_days(df, layer, table, which)
+
+    before = of("silver", "silver_orders", "order_date").select("order_id")
+    lake.replace(before, "silver", TOUCHED)
+    for name, which in (("orders", days), ("order_items", line_days)):
         bronze = lake.read("bronze", f"bronze_{name}")
-        # orders dated after as_of are clamped to its day
-        bronze = bronze.filter(F.col("order_date").isin(days) | (F.col("order_date") > today))
-        silver = CLEANERS[name](bronze, as_of)
-        lake.replace_days(silver.filter(F.to_date("order_time").isin(days)), "silver", f"silver_{name}")
+        bronze = bronze.filter(F.col("order_date").isin(which) | (F.col("order_date") > today))
+        silver = CLEANERS[name](merge.newest_state(bronze, KEYS[name]), as_of)
+        put(silver.filter(F.to_date("order_time").isin(which)), "silver", f"silver_{name}", which)
 
-    orders, items = of("silver", "silver_orders", "order_date"), of("silver", "silver_order_items", "order_date")
+    orders = of("silver", "silver_orders", "order_date")
+    items = of("silver", "silver_order_items", "order_date", line_days)
     ratings = of("silver", "silver_ratings", "rating_date")
-    lake.replace_days(daily.restaurant_performance(orders, ratings, as_of), "silver", "silver_restaurant_performance")
-    lake.replace_days(daily.driver_performance(orders, ratings, as_of), "silver", "silver_driver_performance")
+    put(daily.restaurant_performance(orders, ratings, as_of), "silver", "silver_restaurant_performance")
+    put(daily.driver_performance(orders, ratings, as_of), "silver", "silver_driver_performance")
 
     drivers, restaurants = lake.read("gold", "dim_drivers"), lake.read("gold", "dim_restaurants")
     calendar, menu = lake.read("gold", "dim_date"), lake.read("gold", "dim_menu_items")
-    lake.replace_days(facts.fact_orders(orders, drivers, restaurants, calendar), "gold", "fact_orders")
+    put(facts.fact_orders(orders, drivers, restaurants, calendar), "gold", "fact_orders")
     fact_orders = of("gold", "fact_orders", "order_date")
-    lake.replace_days(facts.fact_order_items(items, fact_orders, menu, calendar), "gold", "fact_order_items")
+    put(facts.fact_order_items(items, fact_orders, menu, calendar), "gold", "fact_order_items", line_days)
 
-    all_ratings = lake.read("silver", "silver_ratings")
-    theirs = all_ratings.join(orders.select("order_id"), "order_id", "left_semi")
+    # Ratings of orders that came, changed or went.
+    touched = lake.read("silver", TOUCHED).unionAll(orders.select("order_id")).distinct()
+    theirs = lake.read("silver", "silver_ratings").join(touched, "order_id", "left_semi")
     rating_days = dims.distinct_days(theirs.select("rating_date"))
     if rating_days:
         old = of("gold", "fact_ratings", "rating_date", rating_days)
-        others = old.join(orders.select("order_id"), "order_id", "left_anti").drop("rating_date")
+        others = old.join(touched, "order_id", "left_anti").drop("rating_date")
         own = facts.fact_ratings(theirs, fact_orders, drivers, restaurants, calendar)
-        lake.replace_days(others.unionByName(own), "gold", "fact_ratings")
+        put(others.unionByName(own), "gold", "fact_ratings", rating_days)
 
-    lake.replace_days(facts.fact_restaurant_daily(
+    put(facts.fact_restaurant_daily(
         of("silver", "silver_restaurant_performance", "performance_day"), restaurants, calendar,
         facts.items_sold(items, orders)), "gold", "fact_restaurant_daily")
-    lake.replace_days(facts.fact_driver_daily(
+    put(facts.fact_driver_daily(
         of("silver", "silver_driver_performance", "performance_day"), drivers, calendar),
         "gold", "fact_driver_daily")
-    lake.replace_days(facts.fact_business_summary(
+    put(facts.fact_business_summary(
         fact_orders, of("gold", "fact_ratings", "rating_date"), drivers, restaurants, calendar, as_of),
         "gold", "fact_business_summary")
     return days

@@ -9,6 +9,8 @@ version.
 """
 
 import json
+from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -131,11 +133,11 @@ class Lake:
         self._point(layer, table, version, df.schema)
         return rows
 
-    def replace_days(self, df: DataFrame, layer: str, table: str) -> int:
+    def replace_days(self, df: DataFrame, layer: str, table: str, days: Sequence[date] = ()) -> int:
         """The days that `df` has rows for, leaving all other days as they are.
 
-        In a table that streams write, a day is replaced per batch: give back
-        every row of the day with its batch_id.
+        Of the `days` named, those without rows are emptied. In a table that streams
+        write, a day is replaced per batch: give back every row of the day with its batch_id.
         """
         if table not in PARTITIONED:
             raise ValueError(f"{table} is not split by day")
@@ -143,7 +145,28 @@ class Lake:
         if version is None:
             return self.replace(df, layer, table)
         df, partitions = self._stored(df, table)
-        return self._write(df, f"{self.path(layer, table)}/v={version}", partitions, dynamic=True)
+        path = f"{self.path(layer, table)}/v={version}"
+        folders = [f"{path}/{partitions[0]}={day}" for day in days]
+        old = {f: self._files(f) for f in folders}
+        rows = self._write(df, path, partitions, dynamic=True)
+        for folder in folders:
+            for stale in old[folder] & self._files(folder):  # the write would have replaced it
+                self._delete(stale)
+        return rows
+
+    def _files(self, folder: str) -> set[str]:
+        """Data files below a folder."""
+        if not self._is_there(folder):
+            return set()
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        listed, found = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).listFiles(where, True), set()
+        while listed.hasNext():
+            found.add(listed.next().getPath().toString())
+        return {f for f in found if f.rsplit("/", 1)[1].startswith("part-")}
+
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
     def append_batch(self, df: DataFrame, layer: str, table: str, batch_id: int) -> int:
         """Rows of one stream batch. Writing the same batch again replaces it, so a retry adds nothing."""
@@ -154,6 +177,9 @@ class Lake:
             self._point(layer, table, version, df.schema)
         return self._write(df, f"{self.path(layer, table)}/v={version}", partitions, dynamic=True)
 
+    def append_or_create(self, df: DataFrame, layer: str, table: str) -> None:
+        self.append(df, layer, table) if self.exists(layer, table) else self.replace(df, layer, table)
+
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         """Plain append to an existing table of the same columns."""
         target = self.read(layer, table)

@@ -18,16 +18,17 @@ MAX_SECONDS = 300
 METRICS = "ingest"
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+def kafka_messages(spark: SparkSession, servers: str, topic: str, fail_on_data_loss: bool = True,
+                   **options: str) -> DataFrame:
     """A topic from its earliest offset on; the broker's timestamp is the arrival time.
 
-    Needs Spark's Kafka connector on the class path.
+    Offsets that the broker has dropped stop the stream unless the caller accepts the loss. Needs Spark's Kafka connector on the class path.
     """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic)
               .option("startingOffsets", "earliest")
-              .option("failOnDataLoss", "false")
+              .option("failOnDataLoss", str(fail_on_data_loss).lower())
               .options(**options))
     return reader.load().select("value", F.col("timestamp").alias("arrival_time"))
 

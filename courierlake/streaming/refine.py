@@ -53,13 +53,19 @@ def refresh_from_stream(lake: Lake, batch: DataFrame, batch_id: int) -> None:
 
     days = dims.distinct_days(batch.select(F.to_date("order_time")))
     scored = lake.read("silver", "silver_scored_orders")
-    of_days = latest_orders(scored.filter(F.col("order_date").isin(days)))
+    # orders without a day are a group of their own
+    of_days = latest_orders(scored.filter(F.col("order_date").isin(days) | F.col("order_date").isNull()))
     lake.replace_days(daily.daily_performance(of_days, as_of, lookback=None), "silver", "silver_daily_performance")
 
     own = scored.filter(F.col(BATCH) == batch_id)
     drivers, restaurants = (lake.read_or_none("gold", t) for t in ("dim_drivers", "dim_restaurants"))
-    lake.append_batch(facts.recent_fact_orders(latest_orders(own), drivers, restaurants, as_of),
-                      "gold", "fact_orders_stream", batch_id)
+    fresh = facts.recent_fact_orders(latest_orders(own), drivers, restaurants, as_of)
+    held = lake.read_or_none("gold", "fact_orders_stream")
+    if held is not None:
+        # an order that comes again replaces its row, so the table has one row per order
+        of_days = held.filter(F.col("order_day").isin(days) | F.col("order_day").isNull()).select(*fresh.columns)
+        fresh = of_days.join(fresh.select("order_id"), "order_id", "left_anti").unionByName(fresh)
+    lake.replace_days(fresh, "gold", "fact_orders_stream")
 
     # orders of the last day, for customers seen in this batch only
     recent = scored.filter(F.col("order_date") >= F.date_sub(F.lit(as_of).cast("date"), 1))

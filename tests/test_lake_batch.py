@@ -98,7 +98,7 @@ def test_tables_are_readable_in_sql(lake):
     assert spark.sql("SHOW TABLES IN silver").count() >= 9
     assert spark.sql("DESCRIBE bronze.bronze_orders").count() >= 11
     described = lake.describe().filter("table_name = 'fact_orders'").collect()
-    assert ("order_key", "bigint") in {(r.column, r.type) for r in described}
+    assert ("order_key", "string") in {(r.column, r.type) for r in described}
 
 
 def test_gate_stops_the_pipeline(lake):
@@ -201,6 +201,81 @@ def test_late_arrivals_are_caught_up(lake, tmp_path):
         "arrival_time": F.lit(AS_OF).cast("timestamp") - F.expr("INTERVAL 5 MINUTES"),
         "order_time": F.lit("2024-02-28 20:00:00").cast("timestamp")})
     other.append_batch(more, "bronze", "bronze_orders", 0)
-    assert batch.catch_up(other, "2024-03-01 01:00:00") == []  # arrived too long before
-    assert [str(d) for d in batch.catch_up(other, AS_OF)] == ["2024-02-28"]
+    # an hour later nothing is lost, and a second run finds nothing new
+    assert [str(d) for d in batch.catch_up(other, "2024-03-01 01:00:00")] == ["2024-02-28"]
+    assert batch.catch_up(other, "2024-03-01 01:15:00") == []
     assert other.read("gold", "fact_orders").filter("order_id LIKE 'late%'").count() == 6
+    critical = more.withColumns({"order_id": F.concat(F.lit("very_"), "order_id"), "order_time": F.lit(
+        "2024-02-26 08:00:00").cast("timestamp"), "arrival_time": F.lit("2024-03-01 02:00:00").cast("timestamp")})
+    other.append_batch(critical, "bronze", "bronze_orders", 1)
+    assert [str(d) for d in batch.catch_up(other, "2024-03-01 03:00:00")] == ["2024-02-26"]
+    assert other.read("gold", "fact_orders").filter("order_id LIKE 'very%'").count() == 6
+    assert other.read("bronze", "lateness_runs").filter("lateness = 'Critical'").agg(F.sum("records")).first()[0] == 6
+
+
+def without_stamps(df):
+    return rows(df, "ingest_timestamp", "updated_at", "arrival_time", "batch_id")
+
+
+def test_rebuild_at_a_later_time_equals_a_full_run(lake, with_late_rows):
+    """Orders and lines dated ahead, a state delivered again, a day whose orders all become invalid."""
+    spark, columns = lake.spark, BRONZE["orders"].names
+    later = "2024-03-04 00:00:00"
+    ahead = synth.synth_orders(spark, 5, 42, AS_OF)
+    stamp = F.lit("2024-03-03 10:00:00").cast("timestamp")
+    orders = ahead.orders.withColumns({"order_id": F.concat(F.lit("ahead_"), "order_id"), "order_time": stamp})
+    items = ahead.order_items.withColumns({
+        "order_id": F.concat(F.lit("ahead_"), "order_id"), "order_item_id": F.concat(F.lit("ahead_"), "order_item_id"),
+        "order_time": stamp})
+
+    part = with_late_rows("part2")
+    part.append(orders.select(*columns), "bronze", "bronze_orders")
+    part.append(items.select(*BRONZE["order_items"].names), "bronze", "bronze_order_items")
+    batch.run_batch(part, AS_OF)
+    assert part.read("silver", "silver_orders").filter("order_id LIKE 'ahead%' AND order_date = '2024-03-01'").count() == 5
+
+    bronze = part.read("bronze", "bronze_orders")
+    day = bronze.filter("order_date < '2024-03-01'").agg(F.min("order_date")).first()[0]
+    again = bronze.filter(F.col("order_date") == day).select(*columns).withColumn("status", F.lit("zzz"))
+    again = spark.createDataFrame(again.collect(), again.schema)
+    part.append_batch(again.withColumn("arrival_time", F.lit("2024-03-02 00:00:00").cast("timestamp")),
+                      "bronze", "bronze_orders", 1)
+    days = batch.catch_up(part, later)
+    assert day in days and "2024-03-03" in {str(d) for d in days}
+    assert part.read("gold", "fact_orders").filter(F.col("order_date") == day).count() == 0
+
+    whole = Lake(spark, part.root + "_whole")
+    for t in BRONZE:
+        whole.replace(part.read("bronze", f"bronze_{t}").drop("order_date", "rating_date"), "bronze", f"bronze_{t}")
+    batch.run_batch(whole, later, max_invalid_rate=1.0)
+    for layer, table in whole.tables():
+        if table not in ("dim_date", "dim_drivers", "dim_restaurants", "dim_menu_items"):
+            assert without_stamps(part.read(layer, table)) == without_stamps(whole.read(layer, table)), table
+
+
+def test_an_order_delivered_twice_counts_once(lake, with_late_rows):
+    part = with_late_rows("twice")
+    columns = BRONZE["orders"].names
+    first = part.read("bronze", "bronze_orders").select(*columns)
+    first = lake.spark.createDataFrame(first.collect(), first.schema)
+    stamp = F.lit(AS_OF).cast("timestamp")
+    part.append_batch(first.withColumns({"status": F.lit("cancelled"), "arrival_time": stamp}), "bronze", "bronze_orders", 3)
+    batch.run_batch(part, AS_OF)
+    facts = part.read("gold", "fact_orders")
+    assert facts.count() == 600 == facts.filter("status = 'cancelled'").count()
+    assert part.read("gold", "fact_order_items").count() == lake.read("gold", "fact_order_items").count()
+
+
+def test_bad_bronze_stops_before_silver_changes(lake, with_late_rows):
+    part = with_late_rows("bad")
+    batch.run_batch(part, AS_OF)
+    version = part.version("silver", "silver_orders")
+    columns = BRONZE["orders"].names
+    broken = part.read("bronze", "bronze_orders").select(*columns).withColumns(
+        {"order_id": F.concat(F.lit("bad_"), "order_id"), "status": F.lit("zzz")})
+    part.append(broken, "bronze", "bronze_orders")
+    with pytest.raises(QualityGateError, match="status is unknown"):
+        batch.run_batch(part, "2024-03-02 00:00:00")
+    assert part.version("silver", "silver_orders") == version
+    assert part.read("bronze", "rejected_orders").count() == 600
+    assert part.read("bronze", "quality_metrics").filter("rule = 'any rule' AND table_name = 'orders'").count() == 2

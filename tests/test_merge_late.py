@@ -34,6 +34,20 @@ def test_upsert_can_set_null_and_insert(spark):
     assert got == {"a": ("ready", "x"), "b": (None, "y"), "c": (None, "z"), "q": ("ready", "n")}
 
 
+def test_upsert_refuses_a_key_given_twice(spark):
+    source = table(spark, [("a", "ready", None, "n"), ("a", "placed", None, "n")])
+    for insert in (False, True):
+        with pytest.raises(Exception, match="several source rows for key a"):
+            merge.upsert(table(spark, TARGET), source, ["order_id"], ["status"], insert=insert).collect()
+
+
+def test_upsert_reads_the_target_once(spark, small):
+    target = spark.read.parquet(f"{small}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    source = spark.read.parquet(f"{small}/lineitem.parquet").selectExpr("l_orderkey AS o_orderkey", "'x' AS o_orderstatus").distinct()
+    plan = merge.upsert(target, source, ["o_orderkey"], ["o_orderstatus"], insert=True)._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("orders.parquet") == 1
+
+
 def test_dedup_takes_the_newest_and_limits_before_the_shuffle(spark):
     df = spark.createDataFrame([("a", 1, "old"), ("a", 3, "new"), ("a", 2, "mid"), ("b", 1, "only")],
                                "k string, t int, v string")

@@ -194,3 +194,18 @@ def test_small_scalars(spark):
         S.display_minutes(F.lit(12.9)).alias("shown"),
         S.date_key(F.lit("2024-02-09").cast("date")).alias("key")).first()
     assert (row["at"], row.over, row.none, row.shown, row.key) == (False, True, False, 12, 20240209)
+
+
+def test_sums_are_rounded_after_the_sum(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("x"), F.lit(9e18).alias("big"), F.lit(float("nan")).alias("odd"))
+    got = df.agg(X.sum_money(F.col("x")).alias("a"), X.mean_money(F.col("x")).alias("b"),
+                 X.sum_money(F.col("big")).alias("c"), X.sum_money(F.col("odd")).alias("d")).first()
+    assert tuple(got) == (4.0, 0.0, 9e21, None)
+
+
+def test_a_price_that_rounds_to_nothing_and_a_huge_quantity_are_rejected(spark):
+    rows = [("a", "o", "i", 1.0, 0.004), ("b", "o", "i", 1e300, 1.0), ("c", "o", "i", 2.0, 0.005)]
+    df = spark.createDataFrame(rows, "order_item_id string, order_id string, item_id string, quantity double, "
+                                     "item_price double").withColumn("order_time", F.current_timestamp())
+    kept = clean.clean_order_items(df, "2024-01-01 00:00:00").collect()
+    assert [(r.order_item_id, r.quantity, r.item_price) for r in kept] == [("c", 2, 0.01)]
