@@ -35,7 +35,7 @@ GRAM = 32
 BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
 PLACE = (1 << 24) - 1  # low bits of a window's key: the place of the gram in the piece at hand
-PIECE = 4 << 20  # bytes handled at once
+PIECE = 1 << 20  # bytes handled at once; hashes take eight bytes each, several times over
 
 
 # ---- contexts ------------------------------------------------------------------------------------------------------
@@ -242,7 +242,7 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
-def sort_contexts(length: int, batch_bytes: int = 2 << 20):
+def sort_contexts(length: int, batch_bytes: int = 1 << 20):
     """Rows of cut_texts, sorted by gram, to (gram, context, runs): runs of starts whose strings repeat."""
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
