@@ -506,7 +506,20 @@ ORACLE: dict[str, str] = {
         WHERE restaurant_id IS NULL""", "bronze_orders"),
     "orphan_lines": sql("""
         SELECT order_item_id, order_id, item_id FROM bronze_items
-        WHERE order_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""", "bronze_items"),
+        WHERE order_id NOT IN (SELECT event_id FROM events)""", "bronze_items"),
+    "orphan_ratings": """
+        SELECT event_id AS rating_id, event_id AS order_id FROM events
+        WHERE event_id NOT IN (SELECT o_orderkey FROM orders)""",
+    "core_metrics_net": sql("""
+        SELECT CAST(round(sum(CAST(net AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_revenue,
+               """ + mean_money("net") + """ AS avg_order_value, count(DISTINCT customer_id) AS unique_customers,
+               count(DISTINCT restaurant_id) AS active_restaurants
+        FROM (SELECT order_id, customer_id, status FROM bronze_orders) JOIN (
+              SELECT l_orderkey AS order_id, min(l_suppkey) AS restaurant_id, CAST(sum(CAST(
+                         CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(3,2)))
+                         * (1 + CAST(l_tax AS DECIMAL(3,2))) AS DECIMAL(20,6))) AS DOUBLE) AS net
+              FROM lineitem GROUP BY l_orderkey) USING (order_id)
+        WHERE """ + DELIVERED, "bronze_orders"),
     "layer_counts": sql(" UNION ALL ".join(
         f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) AS row_count FROM {step}"
         for layer, name, step in [

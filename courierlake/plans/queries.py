@@ -319,8 +319,27 @@ def rejected_orders(g: Given) -> DataFrame:
 
 @query
 def orphan_lines(g: Given) -> DataFrame:
-    placed = g.bronze_orders(lines=False, drivers=False).filter("status <> 'preparing'")
-    return rules.orphans(g.bronze_order_items(), placed, "order_id").select("order_item_id", "order_id", "item_id")
+    """Lines of orders that no rating names."""
+    rated = g.table("events").select(F.col("event_id").alias("order_id"))
+    return rules.orphans(g.bronze_order_items(), rated, "order_id").select("order_item_id", "order_id", "item_id")
+
+
+@query
+def orphan_ratings(g: Given) -> DataFrame:
+    """Ratings of orders that do not exist."""
+    ratings = g.table("events").select(F.col("event_id").alias("rating_id"), F.col("event_id").alias("order_id"))
+    return rules.orphans(ratings, g.table("orders").select(F.col("o_orderkey").alias("order_id")), "order_id")
+
+
+@query
+def core_metrics_net(g: Given) -> DataFrame:
+    """Core metrics of amounts with many decimals: net line prices, summed per order."""
+    exact = [F.col(c).cast("decimal(12,2)") for c in ("l_extendedprice", "l_discount", "l_tax")]
+    net = (exact[0] * (1 - exact[1]) * (1 + exact[2])).cast("decimal(20,6)")
+    lines = g.table("lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.sum(net).cast("double").alias("total_amount"), F.min("l_suppkey").alias("restaurant_id"))
+    orders = g.bronze_orders(lines=False, drivers=False).select("order_id", "customer_id", "status")
+    return reports.core_metrics(orders.join(lines, "order_id"))
 
 
 @query

@@ -29,6 +29,7 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._viewed: set[tuple[str, str]] = set()
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -131,8 +132,26 @@ class Lake:
         version = (self.version(layer, table) or 0) + 1
         rows = self._write(df, f"{self.path(layer, table)}/v={version}", partitions)
         self._point(layer, table, version, df.schema)
+        if (layer, table) in self._viewed:
+            self._view(layer, table)
         return rows
 
+    def compact_days(self, layer: str, table: str, days: Sequence[date]) -> int:
+        """Closed days of a streamed table as few files; their batches can't be written again afterwards.
+
+        Readers may see a row twice while the old files are being removed.
+        """
+        rows = self.read(layer, table).filter(F.col(PARTITIONED[table][0]).isin(list(days)))
+        return self.replace_days(rows.withColumn(BATCH, F.lit(LOADED).cast("bigint")), layer, table, days)
+
+    def remove_old_versions(self, layer: str, table: str, keep: int = 2) -> list[int]:
+        """Drop all but the newest `keep` versions; returns those removed. No reader may still use them."""
+        newest = self.version(layer, table) or 0
+        gone = [v for v in range(1, newest - keep + 1) if self._is_there(f"{self.path(layer, table)}/v={v}")]
+        for v in gone:
+            self._delete(f"{self.path(layer, table)}/v={v}")
+        return gone
+
     def replace_days(self, df: DataFrame, layer: str, table: str, days: Sequence[date] = ()) -> int:
         """The days that `df` has rows for, leaving all other days as they are.
 
@@ -206,18 +225,22 @@ class Lake:
         return [(layer, t) for layer, names in LAYERS.items() for t in names if self.exists(layer, t)]
 
     def register_views(self) -> None:
-        """Make every table readable in SQL as <layer>.<table>."""
+        """Make every table readable in SQL as <layer>.<table>; tables replaced later move their view along."""
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         for layer, table in self.tables():
-            df, version = self.read(layer, table), self.version(layer, table)
-            if df.isEmpty():
-                typed = ", ".join(f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in df.dtypes)
-                query = f"SELECT {typed} WHERE false"
-            else:
-                names = ", ".join(f"`{n}`" for n in df.columns)
-                query = f"SELECT {names} FROM parquet.`{self.path(layer, table)}/v={version}`"
-            self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS {query}")
+            self._view(layer, table)
+
+    def _view(self, layer: str, table: str) -> None:
+        df, folder = self.read(layer, table), f"{self.path(layer, table)}/v={self.version(layer, table)}"
+        if self._files(folder):
+            names = ", ".join(f"`{n}`" for n in df.columns)
+            query = f"SELECT {names} FROM parquet.`{folder}`"
+        else:
+            typed = ", ".join(f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in df.dtypes)
+            query = f"SELECT {typed} WHERE false"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS {query}")
+        self._viewed.add((layer, table))
 
     def describe(self) -> DataFrame:
         """One row per column of every table."""

@@ -46,6 +46,37 @@ def test_replace_makes_versions(spark, tmp_path):
         lake.read("gold", "missing")
 
 
+def test_views_follow_the_table_and_old_versions_go(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.ensure_bronze()
+    made = synth.synth_orders(spark, 20, 1, AS_OF).orders
+    lake.register_views()
+    assert spark.sql("SELECT * FROM bronze.bronze_orders").count() == 0
+    for n in (1, 2, 3):
+        lake.replace(made.filter(f"crc32(order_id) % 4 < {n}"), "bronze", "bronze_orders")
+    assert spark.sql("SELECT * FROM bronze.bronze_orders").count() == lake.safe_count("bronze", "bronze_orders") > 0
+    assert lake.remove_old_versions("bronze", "bronze_orders", keep=2) == [1, 2]
+    assert lake.remove_old_versions("bronze", "bronze_orders", keep=2) == []
+
+
+def test_days_are_emptied_and_compacted(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    made = synth.synth_orders(spark, 40, 1, AS_OF, days=2).orders
+    lake.ensure("bronze", "bronze_orders", BRONZE["orders"])
+    for n in range(3):
+        lake.append_batch(made, "bronze", "bronze_orders", n)
+    days = sorted(r[0] for r in lake.read("bronze", "bronze_orders").select("order_date").distinct().collect())
+    before = rows(lake.read("bronze", "bronze_orders"), "batch_id")
+    files = lambda: lake._files(f"{lake.path('bronze', 'bronze_orders')}/v=1/order_date={days[0]}")
+    assert len(files()) >= 3
+    lake.compact_days("bronze", "bronze_orders", days[:1])
+    assert rows(lake.read("bronze", "bronze_orders"), "batch_id") == before and len(files()) == 1
+    none = lake.read("bronze", "bronze_orders").limit(0).drop("order_date")
+    lake.replace_days(none, "bronze", "bronze_orders", days[:1])
+    left = lake.read("bronze", "bronze_orders")
+    assert left.filter(F.col("order_date") == days[0]).isEmpty() and not left.isEmpty()
+
+
 def test_empty_tables(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     lake.ensure("bronze", "bronze_orders", BRONZE["orders"])
