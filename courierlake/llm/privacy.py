@@ -152,14 +152,14 @@ def telling_terms(docs: DataFrame, folder: str, reach: int = 8, disclosed: float
 
 
 def found(docs: DataFrame, reach: int, disclosed: float, contexts: int) -> DataFrame:
-    """doc_id, text, `row` with all columns of docs, `_base` and `_spans`: the base spans and all spans."""
+    """doc_id, `row` with all columns of docs, `_base` and `_spans`: the base spans and all spans."""
     folder = workspace(docs.sparkSession)
     told = settle(telling_terms(docs, folder, reach, disclosed, contexts), folder, "telling")
     patterns = told.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.concat(
         F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.sort_array(F.collect_set("term")), "|"),
         F.lit(r")(?![\p{L}\p{N}])")).alias("_pattern"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    whole = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    whole = docs.select("doc_id", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     rows = whole.join(patterns, F.col("doc_id") == F.col("_id"), "left").withColumn("_base", base_spans(text))
     terms = F.transform(located(text, F.col("_pattern")), lambda x: F.struct(
         x["start"].alias("start"), F.lit(TERM).alias("kind"), x["stop"].alias("stop")))
@@ -182,7 +182,7 @@ def find(docs: DataFrame, reach: int = 8, disclosed: float = 0.9, contexts: int
 
 def sanitise(docs: DataFrame, reach: int = 8, disclosed: float = 0.9, contexts: int = 3) -> DataFrame:
     """The documents with base spans generalised to [EMAIL] and the like, and telling terms removed."""
-    rows = found(docs, reach, disclosed, contexts)
+    rows = found(docs, reach, disclosed, contexts).withColumn("text", F.col("row.text"))
     labels = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS), F.lit(""))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
