@@ -10,6 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courierlake.functions import exact as X
 from courierlake.functions import scalars as S
 from courierlake.operators import clean, daily, dims, facts, late, merge, reports, rules
 from courierlake.session import size_shuffles, tune
@@ -26,6 +27,7 @@ CLEANERS: dict[str, Callable] = {
 }
 STAGE = "bronze_orders_staged"
 TOUCHED = "rebuild_orders"  # orders of a rebuild, as they were and as they are
+IMPACT_BEFORE = "impact_before"  # orders and revenue of the rebuilt days, as they were
 SEEN = "arrivals_seen"  # newest arrival that silver and gold hold
 KEYS = {"orders": "order_id", "order_items": "order_item_id", "ratings": "rating_id"}
 BRONZE_RULES: dict[str, Callable] = {
@@ -245,6 +247,7 @@ def reprocess(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
 
     before = of("silver", "silver_orders", "order_date").select("order_id")
     lake.replace(before, "silver", TOUCHED)
+    lake.replace(day_totals(of("gold", "fact_orders", "order_date")), "gold", IMPACT_BEFORE)
     for name, which in (("orders", days), ("order_items", line_days)):
         bronze = lake.read("bronze", f"bronze_{name}")
         bronze = bronze.filter(F.col("order_date").isin(which) | (F.col("order_date") > today))
@@ -282,4 +285,12 @@ def reprocess(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
     put(facts.fact_business_summary(
         fact_orders, of("gold", "fact_ratings", "rating_date"), drivers, restaurants, calendar, as_of),
         "gold", "fact_business_summary")
+    impact = late.impact_report(lake.read("gold", IMPACT_BEFORE), day_totals(fact_orders), ["order_date"],
+                                ["orders", "revenue"])
+    lake.append_or_create(impact.withColumn("rebuilt_at", S.instant(as_of)).coalesce(1), "gold", "late_impact")
     return days
+
+
+def day_totals(fact_orders: DataFrame) -> DataFrame:
+    return fact_orders.groupBy("order_date").agg(F.count(F.lit(1)).alias("orders"),
+                                                 X.sum_money(F.col("total_amount")).alias("revenue"))

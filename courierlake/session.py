@@ -46,23 +46,23 @@ def build_session(app_name: str = "courierlake", master: str | None = None, **co
 
 # One reduce task per this much input, before adaptive execution merges small ones.
 BYTES_PER_REDUCER = 256 * 1024**2
-MOST_REDUCERS = 100_000
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
+def size_shuffles(spark: SparkSession, *paths: str, most: int | None = None) -> int:
     """Start shuffles with as many partitions as the input asks for.
 
     The default of 200 would make reducers of hundreds of gigabytes out of a
     hundred terabytes. Adaptive execution merges partitions that turn out small,
-    so too many cost little; the number is never set below the session's own.
+    so too many cost little; the number is never set below the session's own, nor
+    above `most` where the caller gives a bound (reducers then grow beyond 256 MB).
     """
     hadoop = spark._jsc.hadoopConfiguration()
     total = 0
     for path in paths:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         total += where.getFileSystem(hadoop).getContentSummary(where).getLength()
-    wanted = min(total // BYTES_PER_REDUCER, MOST_REDUCERS)
-    start = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wanted = total // BYTES_PER_REDUCER
+    start = max(wanted if most is None else min(wanted, most), int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
     return start
 

@@ -236,6 +236,8 @@ def test_late_arrivals_are_caught_up(lake, tmp_path):
     assert [str(d) for d in batch.catch_up(other, "2024-03-01 01:00:00")] == ["2024-02-28"]
     assert batch.catch_up(other, "2024-03-01 01:15:00") == []
     assert other.read("gold", "fact_orders").filter("order_id LIKE 'late%'").count() == 6
+    impact = other.read("gold", "late_impact").collect()
+    assert [(str(r.order_date), r.orders_delta) for r in impact] == [("2024-02-28", 6.0)]
     critical = more.withColumns({"order_id": F.concat(F.lit("very_"), "order_id"), "order_time": F.lit(
         "2024-02-26 08:00:00").cast("timestamp"), "arrival_time": F.lit("2024-03-01 02:00:00").cast("timestamp")})
     other.append_batch(critical, "bronze", "bronze_orders", 1)

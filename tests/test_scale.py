@@ -101,8 +101,7 @@ def test_shuffle_width_follows_the_input(spark, small, monkeypatch):
     monkeypatch.setattr(session, "BYTES_PER_REDUCER", 10_000)
     wide = session.size_shuffles(spark, small)
     assert wide > own and spark.conf.get(key) == str(wide)
-    monkeypatch.setattr(session, "MOST_REDUCERS", 20)
-    assert session.size_shuffles(spark, small) == 20
+    assert session.size_shuffles(spark, small, most=20) == 20
     monkeypatch.undo()
     session.size_shuffles(spark, small)
 
