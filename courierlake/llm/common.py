@@ -36,12 +36,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def workspace(spark: SparkSession) -> str:
-    """A new folder below the shared one that spark.checkpoint.dir names; a temporary one only where none is named."""
+    """A new folder below the shared one that spark.checkpoint.dir names; a temporary one only in local mode."""
     ship(spark)
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(sc, "_courierlake_work", None)
     if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='llm-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = sc._courierlake_work = f"file://{tempfile.mkdtemp(prefix='llm-')}"
     return f"{root.rstrip('/')}/llm/{uuid.uuid4().hex}"
 
 
