@@ -11,7 +11,8 @@ triples at positions not divisible by three are sorted and named, names are sort
 `length` bytes, the remaining suffixes are ordered by their first byte and the rank behind it, and neighbours in the
 order are compared over `length` bytes. Contexts lie so that their gram starts at a multiple of three, hence equal
 strings fall into the same residue class and the classes need not be merged at the top; below they are. A gram with
-more than `most_contexts` contexts is split further instead, by the strings themselves, which is linear in them.
+more than `most_contexts` contexts is split further instead, by pieces of a few neighbouring starts and, where pieces
+differ in part, by their strings, which is linear in them.
 
 Defined results: null or empty text is no bytes; repeated rows remove each other where they are long enough; a row
 without doc_id is handled like any other; an empty table gives no rows; other columns are ignored.
@@ -275,24 +276,77 @@ def sort_contexts(length: int, batch_bytes: int = 1 << 20):
     return run, "gram long, context long, runs array<struct<a:int,b:int>>"
 
 
+def split_windows(length: int, window: int):
+    """Rows of cut_texts to pieces: the starts of a context whose gram lies at a distance of the same window.
+
+    A piece has the hash of its core, the bytes that all strings of the window share, and of its whole text. Equal
+    strings have equal cores; equal pieces hold equal strings.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for gram, context, starts, place, copies, _, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for q in range((place - starts + 1) // window, place // window + 1):
+                    near, far = q * window, q * window + window - 1  # distances from a start to the gram
+                    low, high = max(0, place - far), min(starts - 1, place - near)
+                    core = xxh3_128_digest(text[place - near:place - far + length] + bytes([q % 256]))
+                    whole = xxh3_64_intdigest(text[low:high + length], place - low)
+                    out.append((gram, context, low, high - low + 1, copies, *np.frombuffer(core, np.int64).tolist(),
+                                whole - (1 << 64) if whole >> 63 else whole))
+            columns = list(zip(*out)) or [()] * 8
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int32() if i in (2, 3) else pa.int64()) for i, c in enumerate(columns)],
+                names=["gram", "context", "start", "n", "copies", "c1", "c2", "whole"])
+
+    return run, ("gram long, context long, start int, n int, copies long, c1 long, c2 long, whole long")
+
+
 def split_strings(length: int):
-    """Rows of cut_texts to one row per start: (gram, context, start, copies, k1, k2), k the string's 128-bit hash."""
+    """(gram, context, said, wanted) to one row per string of the wanted pieces: (gram, context, start, copies, k1, k2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gram, context, starts, _, copies, _, said = (c.to_pylist() for c in batch.columns)
-            for i, text in enumerate(said):
-                keys = np.frombuffer(b"".join(xxh3_128_digest(text[s:s + length]) for s in range(starts[i])),
+            for gram, context, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+                at = [(s, w["copies"]) for w in wanted for s in range(w["start"], w["start"] + w["n"])]
+                keys = np.frombuffer(b"".join(xxh3_128_digest(text[s:s + length]) for s, _ in at),
                                      np.int64).reshape(-1, 2)
-                n = len(keys)
+                n = len(at)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([gram[i]] * n, pa.int64()), pa.array([context[i]] * n, pa.int64()),
-                    pa.array(np.arange(n, dtype=np.int32)), pa.array([copies[i]] * n, pa.int64()),
+                    pa.array([gram] * n, pa.int64()), pa.array([context] * n, pa.int64()),
+                    pa.array([s for s, _ in at], pa.int32()), pa.array([c for _, c in at], pa.int64()),
                     pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=["gram", "context", "start", "copies", "k1", "k2"])
 
     return run, "gram long, context long, start int, copies long, k1 long, k2 long"
 
 
+def crowded(hot: DataFrame, length: int, window: int) -> DataFrame:
+    """(gram, context, runs) for contexts of crowded grams: equal pieces first, strings only where pieces differ.
+
+    A piece that occurs twice repeats in all its strings. Only pieces whose core is shared by different ones are
+    looked at string by string, each different piece once.
+    """
+    cut, kinds = split_windows(length, window)
+    pieces = hot.mapInArrow(cut, kinds)
+    core = ["c1", "c2"]
+    equal = pieces.groupBy(*core, "whole").agg(F.sum("copies").alias("copies"),
+                                               F.min(F.struct("gram", "context", "start")).alias("first"))
+    several = equal.groupBy(*core).agg(F.count("*").alias("several"))
+    known = equal.join(several, core).filter("copies > 1 or several > 1")
+    seen = pieces.drop("copies").join(known, [*core, "whole"])
+    runs = seen.filter("copies > 1").select("gram", "context", F.col("start").alias("a"),
+                                            (F.col("start") + F.col("n") - 1).alias("b"))
+    first = F.struct("gram", "context", "start") == F.col("first")
+    wanted = seen.filter(F.col("several") > 1).filter(first).groupBy("gram", "context").agg(
+        F.collect_list(F.struct("start", "n", "copies")).alias("wanted"))
+    split, kinds = split_strings(length)
+    strings = hot.select("gram", "context", "said").join(wanted, ["gram", "context"]).mapInArrow(split, kinds)
+    twice = strings.groupBy("k1", "k2").agg(F.sum("copies").alias("all")).filter("all > 1").select("k1", "k2")
+    single = strings.join(twice, ["k1", "k2"]).select("gram", "context", F.col("start").alias("a"),
+                                                      F.col("start").alias("b"))
+    return runs.unionAll(single).groupBy("gram", "context").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+
+
 # ---- removal -------------------------------------------------------------------------------------------------------
 
 def remove_spans(length: int, with_text: bool):
@@ -324,7 +378,8 @@ def remove_spans(length: int, with_text: bool):
     return run, kinds + ", kept binary" * with_text
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, most_contexts: int = 512, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, most_contexts: int = 512, window: int = 8,
+                   with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and the bytes kept if asked for.
 
     A row is known by its doc_id and a hash of its text; rows equal in both share their result.
@@ -352,11 +407,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, most_contexts: int = 512,
     sort, kinds = sort_contexts(length)
     small = (said.filter(F.col("many") <= most_contexts).repartition(width(spark), "gram").sortWithinPartitions("gram")
              .mapInPandas(sort, kinds))
-    split, split_kinds = split_strings(length)
-    strings = said.filter(F.col("many") > most_contexts).mapInArrow(split, split_kinds)
-    twice = strings.groupBy("k1", "k2").agg(F.sum("copies").alias("n")).filter("n > 1").select("k1", "k2")
-    places = strings.join(twice, ["k1", "k2"]).groupBy("gram", "context").agg(
-        F.collect_list(F.struct(F.col("start").alias("a"), F.col("start").alias("b"))).alias("runs"))
+    places = crowded(said.filter(F.col("many") > most_contexts), length, window)
     alone = distinct.filter("many = 1").select("gram", "context", F.array(F.struct(
         F.lit(0).alias("a"), (F.col("starts") - 1).alias("b"))).alias("runs"))
     verdicts = settle(small.unionAll(places).unionAll(alone), folder, "verdicts")

@@ -42,7 +42,7 @@ def planted(seed, n):
     return out + [(n, out[3][1]), (n + 1, None), (n + 2, ""), (n + 3, "ab" * 400), (n + 4, "x" * 61), (n + 5, "y" * 60)]
 
 
-@pytest.mark.parametrize("most", [512, 1])  # with 1 every shared gram is split by its strings
+@pytest.mark.parametrize("most", [512, 1])  # with 1 every shared gram is split by pieces and strings
 def test_against_all_strings(texts, most):
     rows = planted(3, 60)
     checked(texts(rows), rows, 60, most_contexts=most)
