@@ -105,5 +105,6 @@ def mixed(docs: DataFrame, weights: dict[str, int], rest: int, block_chars: int
     first = order.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct("slot", "before")).alias("place"))
     whole = docs.select("doc_id", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     at = [F.col("place").asc_nulls_last(), F.col("doc_id")]
-    return (whole.join(first, F.col("doc_id") == F.col("id"), "left").repartitionByRange(width(spark), *at)
+    # One plan at any size: at scale the places are too many to broadcast.
+    return (whole.join(first.hint("merge"), F.col("doc_id") == F.col("id"), "left").repartitionByRange(width(spark), *at)
             .sortWithinPartitions(*at).select("row.*"))

@@ -62,8 +62,9 @@ def repeated_words(said: Column) -> Column:
                .otherwise(covered(m)))
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source, the counts, base_failed and the statistic vector of every row."""
+def statistics(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """doc_id, lang, source, the counts, base_failed and the statistic vector of every row; with `whole`, also `row`."""
+    row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if whole else []
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     by_word = let(words(F.col("text")), lambda w: F.struct(
@@ -71,10 +72,10 @@ def statistics(docs: DataFrame) -> DataFrame:
         repeated_words(w).alias("n_repeat_words")))
     by_line = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"),
                                             (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    counted = docs.select("doc_id", "lang", "source", by_word.alias("w"), by_line.alias("l"),
+    counted = docs.select("doc_id", "lang", "source", *row, by_word.alias("w"), by_line.alias("l"),
                           F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"))
     rows = counted.select("doc_id", "lang", "source", "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines",
-                          "w.n_repeat_words", "l.n_lines")
+                          "w.n_repeat_words", "l.n_lines", *(["row"] if whole else []))
     some = F.greatest(F.col("n_words"), F.lit(1))
     return rows.select(
         "*", ((F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))).alias("base_failed"),
@@ -205,8 +206,12 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = 50) -> Data
         "distance", "lang", "source")
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents less the rejected ones. A row without doc_id can't be named as rejected and stays."""
-    verdicts = settle(judge(docs), workspace(docs.sparkSession), "verdicts")
-    bad = verdicts.filter("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+def keep_good(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = 50) -> DataFrame:
+    """The documents less the rejected ones.
+
+    Statistics are worked out once for the estimates and once more beside the row they judge: that costs less than
+    to bring verdicts and texts together by a shuffle of all texts.
+    """
+    folder = workspace(docs.sparkSession)
+    found = estimates(settle(statistics(docs), folder, "statistics"), folder)
+    return judged(statistics(docs, whole=True), found, cutoff, least_rows).filter("kept").select("row.*")

@@ -208,7 +208,8 @@ def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     A document without doc_id stays; of rows that repeat a doc_id one stays.
     """
     found = settle(near_duplicates(docs, shingle, radius), workspace(docs.sparkSession), "groups")
-    gone = found.filter("doc_id <> component_id").select("doc_id")
+    # One plan at any size: at scale the ids that go are too many to broadcast.
+    gone = found.filter("doc_id <> component_id").select("doc_id").hint("merge")
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     ids = found.filter("doc_id = component_id").agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
     if ids[0] == ids[1]:
