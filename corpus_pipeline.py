@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from courierlake.llm import queries
 from courierlake.llm.common import read, settle, workspace
 from courierlake.llm.mixing import mixed
+from courierlake.llm.near import keep_first_similar
 from courierlake.llm.packing import pack
 from courierlake.llm.privacy import sanitise
 from courierlake.llm.quality import keep_good
-from courierlake.llm.simhash import keep_first
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    return keep_first(docs, shingle=4, radius=4)
+    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) the smallest doc_id stays."""
+    return keep_first_similar(docs, shingle=5, least=(4, 5))
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
