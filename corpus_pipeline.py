@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from courierlake.llm import queries
 from courierlake.llm.common import read, settle, workspace
-from courierlake.llm.mixing import mixed
+from courierlake.llm.mixing import mixed, own_weights, slot_order
 from courierlake.llm.near import keep_first_similar
 from courierlake.llm.packing import pack
 from courierlake.llm.privacy import sanitise
@@ -35,14 +35,21 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.length("text").cast(docs.schema["n_chars"].dataType)))
 
 
+def weights(docs: DataFrame) -> tuple[dict[str, int], int, int]:
+    return *own_weights(docs, queries.WEIGHTS, queries.REST_WEIGHT), queries.BLOCK_CHARS
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the slots that their sources' weights give them."""
-    return mixed(docs, queries.WEIGHTS, queries.REST_WEIGHT, queries.BLOCK_CHARS)
+    return mixed(docs, *weights(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with the sequence and the place each one goes to."""
-    return pack(docs, queries.vocabulary(), capacity=4096, end_id=1)
+    """Pieces of documents with the sequence and the place each one goes to, by the slots of their documents.
+
+    The mix depends on its rows and not on their order, so the slots are those of the stage before.
+    """
+    return pack(docs, queries.vocabulary(), capacity=4096, end_id=1, slots=slot_order(docs, *weights(docs)))
 
 
 STAGES = [("quality rules", quality_rules), ("SimHash near-dedup", near_dedup), ("privacy", privacy),

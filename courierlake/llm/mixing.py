@@ -97,6 +97,26 @@ def mix(docs: DataFrame, weights: dict[str, int], rest: int, block_chars: int =
         "doc_id", "source", "stream", "block", "slot", "release", "deadline", "before")
 
 
+def own_weights(docs: DataFrame, weights: dict[str, int], rest: int) -> tuple[dict[str, int], int]:
+    """`weights` and `rest` with a share for every source: those that `weights` doesn't name get `rest` in equal parts.
+
+    Rows without a source are one of those parts. The driver holds one row per source.
+    """
+    seen = [r["source"] for r in docs.select("source").distinct().collect()]
+    others = sorted(s for s in seen if s is not None and s not in weights)
+    parts = max(1, len(others) + (None in seen))
+    whole = {n: w * parts for n, w in weights.items()} | {s: rest for s in others}
+    common = math.gcd(rest, *whole.values())
+    return {n: w // common for n, w in whole.items()}, rest // common
+
+
+def slot_order(docs: DataFrame, weights: dict[str, int], rest: int, block_chars: int = 1_000_000) -> DataFrame:
+    """doc_id, slot and before; rows that repeat a doc_id share its first place."""
+    order = settle(mix(docs, weights, rest, block_chars), workspace(docs.sparkSession), "order")
+    return order.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("slot", "before")).alias("place")) \
+        .select("doc_id", "place.*")
+
+
 def mixed(docs: DataFrame, weights: dict[str, int], rest: int, block_chars: int = 1_000_000) -> DataFrame:
     """The documents in the order of their slots, across partitions and within them."""
     spark = docs.sparkSession

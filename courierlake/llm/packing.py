@@ -231,9 +231,22 @@ def place_rows(table: pd.DataFrame):
     return place
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, nodes: int = 20_000) -> DataFrame:
+def in_order(placed: DataFrame, order: list[str], folder: str) -> DataFrame:
+    """Sequences numbered anew by the first of their pieces in `order`."""
+    first = F.min(F.struct(*order, "sequence_id")).alias("first")
+    heads = placed.groupBy("sequence_id").agg(first).select("first.*", F.lit(1).alias("one"))
+    numbers = running_totals(heads, [], [*order, "sequence_id"], "one", "number", folder, "numbers")
+    numbered = placed.join(numbers.select("sequence_id", "number"), "sequence_id")
+    return numbered.withColumn("sequence_id", F.col("number")).drop("number")
+
+
+def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, nodes: int = 20_000,
+         slots: DataFrame | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece.
 
+    With `slots` (doc_id, slot, before; one row per doc_id) pieces of a length find their places in that order, and
+    sequences are numbered by it; documents without a slot come last.
+
     The driver holds the histogram (at most `capacity` rows) and the patterns: whenever a pattern ends, one of its
     lengths has less than half of what it had or none left, so their number is bounded by `capacity` as well.
     """
@@ -241,10 +254,22 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1
     cut = settle(pieces(docs, vocabulary, capacity, end_id), folder, "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = places(bin_completion(counts, capacity, nodes))
-    ranked = running_totals(cut.withColumn("one", F.lit(1)), ["length"], ["doc_id", "piece"], "one", "rank", folder,
+    kinds = "doc_id long, piece int, start long, length long, ids_crc32 long, "
+    order = ["doc_id", "piece"]
+    if slots is not None:
+        kinds += "slot long, before long, "
+        order = ["slot", "before", *order]
+        last = F.lit(2**62)
+        # One plan at any size: at scale the slots are too many to broadcast.
+        cut = cut.join(slots.hint("merge"), "doc_id", "left").select(
+            *cut.columns, F.coalesce("slot", last).alias("slot"), F.coalesce("before", last).alias("before"))
+    ranked = running_totals(cut.withColumn("one", F.lit(1)), ["length"], order, "one", "rank", folder,
                             "ranks").drop("one")
-    return ranked.mapInPandas(place_rows(table), "doc_id long, piece int, start long, length long, ids_crc32 long, "
-                                                 "sequence_id long, offset long")
+    placed = ranked.mapInPandas(place_rows(table), kinds + "sequence_id long, offset long")
+    if slots is None:
+        return placed
+    return in_order(settle(placed, folder, "placed"), order, folder).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame, cut: DataFrame) -> DataFrame:
