@@ -1,7 +1,7 @@
 """Operator 9: licences found by TF-IDF cosine to templates, and inherited from the nearest directory above.
 
-Every sentence of a text, and the text as a whole, is a sparse TF-IDF vector; document frequencies of the templates'
-terms are counted over all documents. A sentence at cosine `least` or more to a template is a header that names its
+Every sentence of a text, within its line and over wrapped lines, every run of 2 to 8 lines, and the text as a whole,
+is a sparse TF-IDF vector; document frequencies of all terms are counted over all documents. A sentence at cosine `least` or more to a template is a header that names its
 licence. A file whose whole text is that near to a template, or that is named like one (LICENSE, COPYING, ...) and
 holds such a sentence, is a licence file: its licence holds for all files below its directory that name none
 themselves, the nearest directory first.
@@ -50,6 +50,7 @@ TEMPLATES = [
     ("proprietary", "All rights reserved"),
 ]
 FILE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
+RUN = 8  # lines
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
 
 
@@ -65,7 +66,7 @@ class Weights:
     """Template vectors and idf of their terms from document frequencies."""
 
     def __init__(self, templates: list[tuple[str, str]], docs: int, found: dict[str, int]):
-        self.highest = math.log(docs + 1) + 1
+        self.docs = docs
         vectors = [(name, plain_terms(text)) for name, text in templates]
         self.idf = {t: math.log((docs + 1) / (found.get(t, 0) + 1)) + 1 for _, v in vectors for t in v}
         self.norms = [math.sqrt(sum((n * self.idf[t]) ** 2 for t, n in v.items())) for _, v in vectors]
@@ -87,31 +88,45 @@ class Weights:
         return keys
 
 
-def weigh(files: DataFrame, templates: list[tuple[str, str]]) -> Weights:
-    """One pass over all texts counts the documents that hold each term of the templates."""
+def frequencies(files: DataFrame) -> DataFrame:
+    """(term, df): the number of documents that hold each term."""
+    held = F.array_distinct(terms(F.coalesce("text", F.lit(""))))
+    return files.select(F.explode(held).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+
+
+def weigh(files: DataFrame, templates: list[tuple[str, str]], found: DataFrame) -> Weights:
     vocabulary = sorted({t for _, text in templates for t in plain_terms(text)})
-    held = F.array_intersect(F.array_distinct(terms(F.coalesce("text", F.lit("")))),
-                             F.array(*(F.lit(t) for t in vocabulary)))
-    counts = files.select(F.explode(held).alias("t")).groupBy("t").count().collect()  # the vocabulary at most
-    return Weights(templates, files.count(), {r["t"]: r["count"] for r in counts})
+    counts = found.filter(F.col("term").isin(vocabulary)).collect()  # the vocabulary at most
+    return Weights(templates, files.count(), {r["term"]: r["df"] for r in counts})
+
+
+def parts(text: Column) -> Column:
+    """The whole text, sentences within lines, sentences over lines of one paragraph, and runs of lines."""
+    lines = F.filter(F.split(text, r"\n"), lambda x: F.trim(x) != "")
+    runs = F.flatten(F.transform(F.sequence(F.lit(2), F.lit(RUN)), lambda k: F.when(F.size(lines) >= k, F.transform(
+        F.sequence(F.lit(1), F.size(lines) - k + 1), lambda i: F.array_join(F.slice(lines, i, k), " ")))
+        .otherwise(F.array().cast("array<string>"))))
+    wrapped = F.filter(F.split(text, r"\n[\x20\t\r]*\n|(?<=[.!?;])\s+"), lambda x: F.contains(x, F.lit("\n")))
+    return F.concat(F.array(text), F.split(text, r"\n|(?<=[.!?;])\s+"),
+                    F.when(F.contains(text, F.lit("\n")), F.concat(wrapped, runs))
+                    .otherwise(F.array().cast("array<string>")))
 
 
-def cosines(files: DataFrame, weights: Weights, least: float, folder: str) -> DataFrame:
+def cosines(files: DataFrame, weights: Weights, found: DataFrame, least: float, folder: str) -> DataFrame:
     """(id, part, license, cosine) of sentences (part from 0) and whole texts (part -1) near a template."""
     spark = files.sparkSession
     keys = "|".join(re.escape(t) for t in sorted(weights.key_terms(least)))
     likely = files.select("id", "text").filter(F.lower("text").rlike(rf"(?<![a-z0-9])(?:{keys})(?![a-z0-9])"))
-    split = F.split("text", r"\n|(?<=[.!?;])\s+")
-    part = F.posexplode(F.concat(F.array(F.col("text")), split)).alias("part", "said")
+    part = F.posexplode(parts(F.col("text"))).alias("part", "said")
     rows = likely.withColumn("row", F.monotonically_increasing_id()).select("row", "id", part)
     said = settle(rows.select("row", "id", (F.col("part") - 1).alias("part"), terms(F.col("said")).alias("terms"))
                   .filter(F.arrays_overlap("terms", F.array(*(F.lit(t) for t in sorted(weights.key_terms(least)))))),
                   folder, "parts")
     counted = said.select("row", "id", "part", F.explode("terms").alias("term")).groupBy(
         "row", "id", "part", "term").agg(F.count("*").alias("tf"))
-    table = F.create_map(*(F.lit(x) for t, v in weights.idf.items() for x in (t, v)))
-    idf = F.coalesce(F.try_element_at(table, F.col("term")), F.lit(weights.highest))
-    weighed = settle(counted.withColumn("w", F.col("tf") * idf), folder, "weighed")
+    idf = F.log(F.lit(weights.docs + 1.0) / (F.col("df") + 1)) + 1
+    weighed = settle(counted.join(found, "term").select("row", "id", "part", "term", (F.col("tf") * idf).alias("w")),
+                     folder, "weighed")
     norm = weighed.groupBy("row", "part").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     postings = spark.createDataFrame(weights.postings, "term string, template int, license string, weight double")
     dots = weighed.join(postings, "term").groupBy("row", "id", "part", "template", "license").agg(
@@ -130,8 +145,9 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] | None = None, least
     `licenses` lists all licences that the file itself names.
     """
     folder = workspace(files.sparkSession)
-    weights = weigh(files, templates or TEMPLATES)
-    near = settle(cosines(files, weights, least, folder), folder, "near")
+    found = settle(frequencies(files), folder, "frequencies")
+    weights = weigh(files, templates or TEMPLATES, found)
+    near = settle(cosines(files, weights, found, least, folder), folder, "near")
     own = near.groupBy("id").agg(
         F.min_by("license", F.struct(-F.col("cosine"), "license")).alias("own"), F.max("cosine").alias("own_cosine"),
         (F.min("part") < 0).alias("whole"), F.array_join(F.sort_array(F.collect_set("license")), ",").alias("licenses"))
