@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import let, read, ship, words
 from .lattice import similar_vectors
 from .licenses import scan
 from .mixing import mix
 from .packing import pack
+from .pieces import encode_pieces, piece_digests
 from .privacy import find
 from .quality import judge
+from .runs import find_runs
 from .simhash import near_duplicates
+from .spelling import variants, word_counts
 from .suffixes import remove_repeats
 from .token_files import token_digests
 from .urls import judge_urls
@@ -80,9 +83,57 @@ def op10_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"), URL_RULES, default="allow")
 
 
+def pieces_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    ship(spark)
+    return piece_digests(encode_pieces(docs, pieces_model()), pieces_model())
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document by crc32 of its doc_id repeats, from some word on, the words found there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def planted(said: Column) -> Column:
+        n = F.size(said).cast("long")
+        first = F.pmod(g, n)
+        period = 1 + F.floor((n - first) / (3 + F.pmod(g, F.lit(8)))).cast("long")
+        tail = F.transform(F.sequence(first, n - 1), lambda i: F.get(said, (first + F.pmod(i - first, period)).cast("int")))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(said, 1, first.cast("int")), tail), " "))
+
+    return docs.select("doc_id", F.when(F.pmod(h, F.lit(10)) == 0, let(words(F.col("text")), planted))
+                       .otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = find_runs(with_planted_runs(read(spark, sf_dir, "documents")), least=6, times=4)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"), (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_spelling_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return variants(word_counts(read(spark, sf_dir, "documents"), shortest=5, least=3, mistyped=97), times=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_robust_outliers, op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash, op6_difference_cover, op7_pfair_mix,
-    op8_disclosure, op9_license_scan, op10_url_trie)}
+    op1_robust_outliers, op2_e8_lattice, op3_best_fit_packing, op4_token_files, op5_covering_simhash,
+    op6_difference_cover, op7_pfair_mix, op8_disclosure, op9_license_scan, op10_url_trie, op11_offset_pieces,
+    op12_periodic_runs, op13_spelling_trees)}
 
 ORACLE: dict[str, str] = {
     "op2_e8_lattice": """
