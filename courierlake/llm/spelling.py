@@ -32,7 +32,7 @@ from .tokens import slices
 LETTERS = "A-Za-zÀ-ÿ"
 FIRST, DIMENSIONS = (97, 192), 26 + 64  # a to z, and U+00C0 to U+00FF
 SAME, LONGER = 2, 1  # L1 distance to words of the same and of the next length
-BUCKET = 16
+BUCKET = 32
 
 
 # ---- words ---------------------------------------------------------------------------------------------------------
@@ -241,37 +241,57 @@ def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return head + tail >= a.shape[1]
 
 
+def coded(spelled: np.ndarray) -> np.ndarray:
+    """A number for each row of letters; equal rows have equal numbers."""
+    out = np.zeros(len(spelled), np.uint64)
+    for column in spelled.T:
+        out = out * np.uint64(0x9E3779B97F4A7C15) + column
+    return out
+
+
 class Cell:
-    """The words of one cell, with the lower part of the tree."""
+    """The words of one cell, with the lower part of the tree; a leaf's words stand together."""
 
     def __init__(self, words: list[str], n: list[int]):
-        self.words, self.n = words, np.array(n, np.int64)
-        self.spelled = letters(words, len(words[0]))
-        self.tree = Tree(vectors(self.spelled), BUCKET)
+        spelled = letters(words, len(words[0]))
+        self.tree = Tree(vectors(spelled), BUCKET)
+        self.words = [words[i] for i in self.tree.members.tolist()]
+        self.n, self.spelled = np.array(n, np.int64)[self.tree.members], spelled[self.tree.members]
+        self.halves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def links(self, words: list[str], n: np.ndarray) -> Iterator[tuple[list[str], list[str], np.ndarray]]:
-        """(word, near word, its n) for visitors of one length, in both directions where the lengths differ."""
+        """(word, near word, its n) for visitors of one length, in both directions where the lengths differ.
+
+        One edit leaves the letters before it or those behind it as they are, so the first half of a visitor or the
+        rest of it must be found at the same end of the other word; what passes is compared letter by letter.
+        """
         spelled = letters(words, len(words[0]))
-        longer = self.spelled.shape[1] > spelled.shape[1]
+        length = spelled.shape[1]
+        longer, half = self.spelled.shape[1] > length, length // 2
+        if length not in self.halves:
+            self.halves[length] = coded(self.spelled[:, :half]), coded(self.spelled[:, half - length:])
+        (head, tail), my_head, my_tail = self.halves[length], coded(spelled[:, :half]), coded(spelled[:, half:])
         row, leaf = self.tree.within(vectors(spelled), LONGER if longer else SAME)
         size = self.tree.first[leaf + 1] - self.tree.first[leaf]
-        step = max(1, (8 << 20) // self.spelled.shape[1])
-        block = (np.cumsum(size) - size) // step
+        block = (np.cumsum(size) - size) // (1 << 20)
         cuts = (np.flatnonzero(np.diff(block)) + 1).tolist()
         for a, b in zip([0, *cuts], [*cuts, len(size)]):
             many = size[a:b]
             visitor = np.repeat(row[a:b], many)
-            at = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-            target = self.tree.members[np.repeat(self.tree.first[leaf[a:b]], many) + at]
-            good = one_edit(spelled[visitor], self.spelled[target])
-            visitor, target = visitor[good], target[good]
-            mine, theirs = [words[i] for i in visitor.tolist()], [self.words[i] for i in target.tolist()]
-            yield mine, theirs, self.n[target]
-            if longer:
-                yield theirs, mine, n[visitor]
-
-
-def near_words(words: DataFrame, cell: int = 4_096, sample_words: int = 50_000) -> DataFrame:
+            target = np.arange(len(visitor)) + np.repeat(self.tree.first[leaf[a:b]] - (np.cumsum(many) - many), many)
+            close = np.flatnonzero((head[target] == my_head[visitor]) | (tail[target] == my_tail[visitor]))
+            for c in range(0, len(close), max(1, (8 << 20) // length)):
+                at = close[c:c + max(1, (8 << 20) // length)]
+                mine, theirs = visitor[at], target[at]
+                good = one_edit(spelled[mine], self.spelled[theirs])
+                mine, theirs = mine[good].tolist(), theirs[good]
+                said, near = [words[i] for i in mine], [self.words[i] for i in theirs.tolist()]
+                yield said, near, self.n[theirs]
+                if longer:
+                    yield near, said, n[mine]
+
+
+def near_words(words: DataFrame, cell: int = 16_384, sample_words: int = 50_000) -> DataFrame:
     """(word, near, near_n): every pair of words one edit apart, in both directions."""
     spark = words.sparkSession
     sizes = {r[0]: r[1] for r in words.groupBy(F.length("word")).agg(F.count("*")).collect()}
@@ -323,7 +343,7 @@ def roots(forms: DataFrame, folder: str) -> DataFrame:
             return at
 
 
-def variants(words: DataFrame, times: int = 2, cell: int = 4_096, sample_words: int = 50_000) -> DataFrame:
+def variants(words: DataFrame, times: int = 2, cell: int = 16_384, sample_words: int = 50_000) -> DataFrame:
     """word, form, root, n, n_near, form_n of every (word, n).
 
     A word's form is its near word of the largest n (ties: the first in code-point order), if that is `times` the
