@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courierlake.functions import scalars as S
@@ -120,7 +120,10 @@ def scd2(existing: DataFrame, snapshot: DataFrame, spec: HistorySpec, as_of) ->
         return F.struct(*fields, F.lit(flag).alias("_fresh"))
 
     kept = row({}, "old", False)
-    closed = row({"record_end_date": today, "is_current": F.lit(False), "updated_at": now}, "old", False)
+    # An older snapshot would end a version before it starts; `history_of` takes loads in any order.
+    end = F.when(F.col("old.record_start_date") <= today, today).otherwise(F.raise_error(F.lit(
+        f"{spec.table}: a snapshot of {as_of} is older than a current version")).cast("date"))
+    closed = row({"record_end_date": end, "is_current": F.lit(False), "updated_at": now}, "old", False)
     opened = row({
         spec.surrogate: F.lit(None).cast("bigint"),
         "record_start_date": today,
@@ -147,38 +150,69 @@ def refresh_dimension(existing: DataFrame | None, snapshot: DataFrame, spec: His
 
 
 def lookup_as_of(facts: DataFrame, history: DataFrame, spec: HistorySpec, day: Column,
-                 earliest, latest) -> DataFrame:
+                 slice_by: str = "MM", backdate: bool = False) -> DataFrame:
     """Facts with the surrogate key of the version valid on `day` (start <= day < end), else null.
 
-    A key-only join would pair each fact with every version of its key. Versions
-    are instead laid out by month and joined on (key, month): starts are dates
-    and intervals disjoint, so at most 31 versions meet a fact. `earliest` and
-    `latest` only bound that layout; days outside them share its end months, so
-    they cost time, never rows. A zero-length version never matches.
+    Versions and facts of a key are laid in one order by time and the last version is carried forward, so no fact meets
+    all versions of its key. A key's time is cut into slices (months, or "DD" for days) that are sorted apart, which
+    spreads a hot key; each slice that holds facts starts with the version that was valid before it. With `backdate`
+    the first version of a key also stands for the days before it. A zero-length version never matches; facts without
+    key or day get null.
     """
-    low, high = F.lit(str(earliest)).cast("date"), F.lit(str(latest)).cast("date")
-
-    def month(d: Column) -> Column:
-        return F.trunc(F.least(F.greatest(d, low), high), "MM")
-
-    last_day = F.date_sub("record_end_date", 1)
-    laid_out = (
-        history.filter("record_start_date < record_end_date")
-        .select(
-            F.col(spec.key), F.col(spec.surrogate), "record_start_date", "record_end_date",
-            F.explode(F.sequence(month(F.col("record_start_date")), month(last_day),
-                                 F.expr("INTERVAL 1 MONTH"))).alias("_month"))
-    )
-    dated = facts.withColumn("_day", day).withColumn("_month", month(F.col("_day")))
-    f, h = dated.alias("f"), laid_out.alias("h")
-    matched = f.join(
-        h,
-        (F.col(f"f.{spec.key}") == F.col(f"h.{spec.key}"))
-        & (F.col("f._month") == F.col("h._month"))
-        & (F.col("f._day") >= F.col("h.record_start_date"))
-        & (F.col("f._day") < F.col("h.record_end_date")),
-        "left")
-    return matched.select(*[F.col(f"f.{c}") for c in facts.columns], F.col(f"h.{spec.surrogate}"))
+    key, surrogate = spec.key, spec.surrogate
+    valid = history.filter("record_start_date < record_end_date").select(
+        F.col(key).alias("_key"), F.col("record_start_date").alias("_from"),
+        F.struct(F.col(surrogate).alias("key"), F.col("record_end_date").alias("end")).alias("_version"))
+    if backdate:
+        first = F.row_number().over(Window.partitionBy("_key").orderBy("_from")) == 1
+        valid = valid.withColumn("_from", F.when(first, F.lit("0001-01-01").cast("date")).otherwise(F.col("_from")))
+    dated = facts.withColumn("_day", day).withColumn("_key", F.col(key)).withColumn("_slice", F.trunc("_day", slice_by)
+                                                                                     if slice_by != "DD" else F.col("_day"))
+    # What was valid before a slice: the last version among those that start earlier, over slices that have facts.
+    starts = dated.select("_key", F.col("_slice").alias("_from")).dropna().distinct()
+    none = F.lit(None).cast(valid.schema["_version"].dataType)
+    ordered = Window.partitionBy("_key").orderBy("_from", F.col("_opens").desc())
+    carried = (valid.withColumn("_opens", F.lit(False)).unionByName(
+        starts.withColumns({"_version": none, "_opens": F.lit(True)}))
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(ordered))
+        .filter("_opens and _version is not null").select("_key", "_from", "_version"))
+    slice_of = F.col("_from") if slice_by == "DD" else F.trunc("_from", slice_by)
+    opened = carried.unionByName(valid).select("_key", slice_of.alias("_slice"), F.col("_from").alias("_day"),
+                                               "_version")
+    rows = dated.select("_key", "_slice", "_day", none.alias("_version"), F.struct(*facts.columns).alias("_row"))
+    blank = F.lit(None).cast(rows.schema["_row"].dataType)
+    both = opened.withColumn("_row", blank).unionByName(rows)
+    before = Window.partitionBy("_key", "_slice").orderBy("_day", F.col("_row").isNotNull(), F.col("_version.end"))
+    found = both.withColumn("_version", F.last("_version", ignorenulls=True).over(before)).filter("_row is not null")
+    known = F.col("_key").isNotNull() & (F.col("_day") < F.col("_version.end"))
+    return found.select(*(F.col(f"_row.`{c}`").alias(c) for c in facts.columns),
+                        F.when(known, F.col("_version.key")).alias(surrogate))
+
+
+def history_of(snapshots: DataFrame, spec: HistorySpec, loaded: str = "loaded_at") -> DataFrame:
+    """The dimension from all its snapshots at once: rows of (key, attributes, `loaded`), loaded in any order.
+
+    Per key, loads in a row that agree in the tracked columns are one version, which keeps the attributes of its first
+    load and ends where the next one starts; of several loads on one day the last counts. The result depends on the
+    rows and not on the order in which they came, so intervals are never inverted and never overlap.
+    """
+    day = F.to_date(loaded)
+    tracked = F.struct(*spec.tracked)
+    # One row per key and day: the last load, ties by content.
+    newest = Window.partitionBy(spec.key, day).orderBy(F.col(loaded).desc(), *(F.col(c).desc_nulls_last()
+                                                                                for c in spec.attributes))
+    daily = snapshots.withColumn("_place", F.row_number().over(newest)).filter("_place = 1").drop("_place")
+    by_time = Window.partitionBy(spec.key).orderBy(loaded)
+    islands = (daily.withColumn("_before", F.lag(tracked).over(by_time))
+               .filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(tracked)))
+    end = F.lead(F.col(loaded)).over(by_time)
+    versions = islands.withColumn("_next", end).withColumns({
+        "record_start_date": day,
+        "record_end_date": F.coalesce(F.to_date("_next"), F.lit(OPEN_END).cast("date")),
+        "is_current": F.col("_next").isNull(),
+        "updated_at": F.coalesce("_next", F.col(loaded)),
+        "_name": F.concat_ws("|", F.col(spec.key), day)})
+    return numbered(versions, "_name", spec.surrogate).select(*spec.columns)
 
 
 def dim_menu_items(menu_items: DataFrame) -> DataFrame:

@@ -7,8 +7,8 @@ from courierlake.functions import exact as X
 from courierlake.functions import scalars as S
 from courierlake.functions.keys import hash_key
 from courierlake.operators.daily import DEFAULT_RATING
-from courierlake.operators.dims import current
-from courierlake.operators.joins import with_date_key, with_key
+from courierlake.operators.dims import DRIVERS, RESTAURANTS, current
+from courierlake.operators.joins import with_date_key, with_key, with_version_key
 from courierlake.schemas import GOLD_COLUMNS
 
 EARNINGS_PER_TIP = 1.2
@@ -18,10 +18,14 @@ PERIODS = {"daily": "day", "hourly": "hour"}
 
 
 def fact_orders(orders: DataFrame, drivers: DataFrame | None, restaurants: DataFrame | None,
-                calendar: DataFrame | None, sla: float = S.SLA_MINUTES) -> DataFrame:
-    """One row per silver order; an id or day no dimension holds leaves a null key."""
-    keyed = with_key(orders, drivers, "driver_id", "driver_key")
-    keyed = with_key(keyed, restaurants, "restaurant_id", "restaurant_key")
+                calendar: DataFrame | None, sla: float = S.SLA_MINUTES, dated: bool = False) -> DataFrame:
+    """One row per silver order; an id or day no dimension holds leaves a null key.
+
+    With `dated`, here and below, keys are those of the dimension version of the fact's day, else of the current one.
+    """
+    day = F.to_date("order_time") if dated else None
+    keyed = with_version_key(orders, drivers, DRIVERS, day)
+    keyed = with_version_key(keyed, restaurants, RESTAURANTS, day)
     keyed = with_date_key(keyed, calendar, F.to_date("order_time"))
     return keyed.withColumns({
         "order_key": hash_key("order_id"),
@@ -42,11 +46,12 @@ def fact_order_items(items: DataFrame, orders: DataFrame, menu: DataFrame | None
 
 
 def fact_ratings(ratings: DataFrame, orders: DataFrame | None, drivers: DataFrame | None,
-                 restaurants: DataFrame | None, calendar: DataFrame | None) -> DataFrame:
+                 restaurants: DataFrame | None, calendar: DataFrame | None, dated: bool = False) -> DataFrame:
     """One row per rating; the order key is null for a rating whose order is not in fact_orders."""
+    day = F.to_date("rating_time") if dated else None
     rated = with_key(ratings, orders, "order_id", "order_key")
-    rated = with_key(rated, drivers, "driver_id", "driver_key")
-    rated = with_key(rated, restaurants, "restaurant_id", "restaurant_key")
+    rated = with_version_key(rated, drivers, DRIVERS, day)
+    rated = with_version_key(rated, restaurants, RESTAURANTS, day)
     rated = with_date_key(rated, calendar, F.to_date("rating_time"))
     return (rated.withColumn("rating_key", hash_key("rating_id"))
             .select(*GOLD_COLUMNS["fact_ratings"]))
@@ -61,11 +66,11 @@ def items_sold(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def fact_restaurant_daily(performance: DataFrame, restaurants: DataFrame, calendar: DataFrame,
-                          sold: DataFrame) -> DataFrame:
+                          sold: DataFrame, dated: bool = False) -> DataFrame:
     """Daily performance of known restaurants on calendar days; `sold` comes from `items_sold`."""
     # first, while performance is still hashed on (report_date, restaurant_id)
     daily = performance.join(sold, ["report_date", "restaurant_id"], "left")
-    daily = with_key(daily, restaurants, "restaurant_id", "restaurant_key", how="inner")
+    daily = with_version_key(daily, restaurants, RESTAURANTS, F.col("report_date") if dated else None, how="inner")
     daily = with_date_key(daily, calendar, F.col("report_date"), how="inner")
     return daily.withColumns({
         "restaurant_daily_key": hash_key("restaurant_id", "report_date"),
@@ -75,8 +80,8 @@ def fact_restaurant_daily(performance: DataFrame, restaurants: DataFrame, calend
 
 def fact_driver_daily(performance: DataFrame, drivers: DataFrame, calendar: DataFrame,
                       earnings_per_tip: float = EARNINGS_PER_TIP,
-                      hours_per_order: float = HOURS_PER_ORDER) -> DataFrame:
-    daily = with_key(performance, drivers, "driver_id", "driver_key", how="inner")
+                      hours_per_order: float = HOURS_PER_ORDER, dated: bool = False) -> DataFrame:
+    daily = with_version_key(performance, drivers, DRIVERS, F.col("report_date") if dated else None, how="inner")
     daily = with_date_key(daily, calendar, F.col("report_date"), how="inner")
     return daily.withColumns({
         "driver_daily_key": hash_key("driver_id", "report_date"),

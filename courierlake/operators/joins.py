@@ -9,7 +9,7 @@ keys over many tasks (see `session.tune`).
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courierlake.operators.dims import current
+from courierlake.operators.dims import HistorySpec, current, lookup_as_of
 
 
 def with_key(facts: DataFrame, dim: DataFrame | None, business_key: str, surrogate: str,
@@ -34,3 +34,15 @@ def with_date_key(facts: DataFrame, calendar: DataFrame | None, day: Column, how
         return facts.withColumn("date_key", F.lit(None).cast("int"))
     days = calendar.select(F.col("full_date").alias("_full_date"), "date_key")
     return facts.join(days, day == F.col("_full_date"), how).drop("_full_date")
+
+
+def with_version_key(facts: DataFrame, dim: DataFrame | None, spec: HistorySpec, day: Column | None,
+                     how: str = "left") -> DataFrame:
+    """`with_key` by the dimension version valid on `day`, or the current one where no day is given.
+
+    Days before a key's first version take that one: a dimension starts with its first load, facts may be older.
+    """
+    if dim is None or day is None:
+        return with_key(facts, dim, spec.key, spec.surrogate, how)
+    keyed = lookup_as_of(facts, dim, spec, day, backdate=True)
+    return keyed.filter(F.col(spec.surrogate).isNotNull()) if how == "inner" else keyed

@@ -115,10 +115,10 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def gate(metrics: DataFrame, max_rate: float) -> DataFrame:
-    """Raise when any rule fails for more than `max_rate` of the rows; else hand the metrics on."""
+def gate(metrics: DataFrame, max_rate: float, least: int = 0) -> DataFrame:
+    """Raise when any rule fails for more than `max_rate` of the rows, and more than `least`; else hand the metrics on."""
     rate = F.col("invalid_rows") / F.nullif(F.col("total_rows"), F.lit(0).cast("bigint"))
-    failed = metrics.filter(rate > max_rate).collect()  # one row per rule at most
+    failed = metrics.filter((rate > max_rate) & (F.col("invalid_rows") > least)).collect()  # one row per rule at most
     if failed:
         found = "; ".join(f"{r.rule}: {r.invalid_rows} of {r.total_rows}" for r in failed)
         raise QualityGateError(found)
@@ -131,6 +131,17 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
             .join(parent.select(key), key, "left_anti"))
 
 
+def orphan_metrics(child: DataFrame, parent: DataFrame, key: str, rule: str) -> DataFrame:
+    """One row like those of `quality_metrics`: rows with the key set, and those of them without a parent.
+
+    `parent` must hold each key once.
+    """
+    met = child.filter(F.col(key).isNotNull()).select(key).join(
+        parent.select(key, F.lit(True).alias("_known")), key, "left")
+    return met.agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("total_rows"),
+                   F.count_if(F.col("_known").isNull()).alias("invalid_rows"))
+
+
 def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 

@@ -6,6 +6,7 @@ executor repeats one step, not the pipeline.
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from courierlake.functions import exact as X
 from courierlake.functions import scalars as S
 from courierlake.operators import clean, daily, dims, facts, late, merge, reports, rules
 from courierlake.session import size_shuffles, tune
-from courierlake.sources.lake import ARRIVAL, Lake
+from courierlake.sources.lake import ARRIVAL, BATCH, Lake
 
 CLEANERS: dict[str, Callable] = {
     "orders": clean.clean_orders,
@@ -28,7 +29,9 @@ CLEANERS: dict[str, Callable] = {
 STAGE = "bronze_orders_staged"
 TOUCHED = "rebuild_orders"  # orders of a rebuild, as they were and as they are
 IMPACT_BEFORE = "impact_before"  # orders and revenue of the rebuilt days, as they were
-SEEN = "arrivals_seen"  # newest arrival that silver and gold hold
+LEDGER = "batches_seen"  # per bronze table, the batches that silver and gold hold
+FEW = 20  # broken rows among arrivals that stop no run, whatever their share
+MOST_BATCHES = 100_000  # new batches of one run; ten days of a stream that triggers every 10 seconds
 KEYS = {"orders": "order_id", "order_items": "order_item_id", "ratings": "rating_id"}
 BRONZE_RULES: dict[str, Callable] = {
     "orders": rules.order_rules,
@@ -48,31 +51,32 @@ def bronze_states(lake: Lake, name: str) -> DataFrame | None:
     return bronze if bronze is None or name not in KEYS else merge.newest_state(bronze, KEYS[name])
 
 
-def check_bronze(lake: Lake, as_of, max_rate: float) -> DataFrame:
+def check_bronze(lake: Lake, as_of, max_rate: float, rows: dict[str, DataFrame] | None = None) -> DataFrame:
     """Metrics of the bronze tables, stored with rejected rows; raises before anything is published.
 
-    A rule fails the gate when more than `max_rate` of its rows break it. Lines and
-    ratings of unknown orders are counted beside the rules.
+    A rule fails the gate when more than `max_rate` of its rows break it; rows whose order is unknown count as a rule
+    too. `rows` holds the arrivals of an incremental run, which are then judged alone.
     """
     found = None
     for name, make in BRONZE_RULES.items():
-        rows = bronze_states(lake, name)
-        if rows is None:
+        mine = bronze_states(lake, name) if rows is None else rows.get(name)
+        if mine is None:
             continue
-        metrics = rules.quality_metrics(rows, make())
+        metrics = rules.quality_metrics(mine, make())
         if name != "orders" and lake.exists("bronze", "bronze_orders"):
-            lost = rules.orphans(rows, bronze_states(lake, "orders"), "order_id").agg(
-                F.lit("order_id has no order").alias("rule"), F.lit(None).cast("bigint").alias("total_rows"),
-                F.count(F.lit(1)).alias("invalid_rows"))
-            metrics = metrics.unionByName(lost)
+            known = lake.read("bronze", "bronze_orders").select("order_id").distinct()
+            metrics = metrics.unionByName(rules.orphan_metrics(mine, known, "order_id", "order_id has no order"))
         named = metrics.select(F.lit(name).alias("table_name"), "rule", "total_rows", "invalid_rows",
                                S.instant(as_of).alias("checked_at"))
         found = named if found is None else found.unionByName(named)
-        bad = rules.rejected(rows, make()).withColumn("checked_at", S.instant(as_of))
-        lake.replace(bad, "bronze", f"rejected_{name}")
+        bad = rules.rejected(mine, make()).withColumn("checked_at", S.instant(as_of))
+        if rows is None:
+            lake.replace(bad, "bronze", f"rejected_{name}")
+        else:
+            lake.append_or_create(bad.drop("order_date", "rating_date"), "bronze", f"rejected_arrivals_{name}")
     lake.append_or_create(found.coalesce(1), "bronze", "quality_metrics")
     now = lake.read("bronze", "quality_metrics").filter(F.col("checked_at") == S.instant(as_of))
-    return rules.gate(now, max_rate)
+    return rules.gate(now, max_rate, 0 if rows is None else FEW)
 
 
 def run_silver(lake: Lake, as_of) -> dict[str, int]:
@@ -113,12 +117,12 @@ def run_gold(lake: Lake, as_of, calendar_days: int = 730) -> dict[str, int]:
 
     orders, items, ratings = (lake.read("silver", f"silver_{t}") for t in ("orders", "order_items", "ratings"))
     drivers, restaurants, calendar = gold("dim_drivers"), gold("dim_restaurants"), gold("dim_date")
-    put(facts.fact_orders(orders, drivers, restaurants, calendar), "fact_orders")
+    put(facts.fact_orders(orders, drivers, restaurants, calendar, dated=True), "fact_orders")
     put(facts.fact_order_items(items, gold("fact_orders"), gold("dim_menu_items"), calendar), "fact_order_items")
-    put(facts.fact_ratings(ratings, gold("fact_orders"), drivers, restaurants, calendar), "fact_ratings")
+    put(facts.fact_ratings(ratings, gold("fact_orders"), drivers, restaurants, calendar, dated=True), "fact_ratings")
     put(facts.fact_restaurant_daily(lake.read("silver", "silver_restaurant_performance"), restaurants, calendar,
-                                    facts.items_sold(items, orders)), "fact_restaurant_daily")
-    put(facts.fact_driver_daily(lake.read("silver", "silver_driver_performance"), drivers, calendar),
+                                    facts.items_sold(items, orders), dated=True), "fact_restaurant_daily")
+    put(facts.fact_driver_daily(lake.read("silver", "silver_driver_performance"), drivers, calendar, dated=True),
         "fact_driver_daily")
     put(facts.fact_business_summary(gold("fact_orders"), gold("fact_ratings"), drivers, restaurants, calendar,
                                     as_of), "fact_business_summary")
@@ -129,24 +133,39 @@ def run_batch(lake: Lake, as_of, calendar_days: int = 730, max_invalid_rate: flo
     """The bronze gate, silver, gold. Returns the rows written per table."""
     tune(lake.spark)
     size_shuffles(lake.spark, f"{lake.root}/bronze")
-    newest = newest_arrival(lake)
+    taken = batches_held(lake)
     check_bronze(lake, as_of, max_invalid_rate)
     written = run_silver(lake, as_of)
     check_silver(lake)
     written |= run_gold(lake, as_of, calendar_days)
-    mark_seen(lake, newest)
+    lake.replace(taken, "bronze", LEDGER)
     return written
 
 
-def newest_arrival(lake: Lake) -> str | None:
-    bronze = lake.read_or_none("bronze", "bronze_orders")
-    if bronze is None or ARRIVAL not in bronze.columns:
-        return None
-    return bronze.agg(F.max(ARRIVAL).cast("string")).first()[0]
+def batches_held(lake: Lake) -> DataFrame:
+    """(table_name, batch_id) of the bronze tables that grow; their partition values, as they are now."""
+    held = [lake.batches("bronze", f"bronze_{name}").select(F.lit(name).alias("table_name"), BATCH)
+            for name in KEYS if lake.exists("bronze", f"bronze_{name}")]
+    rows = reduce(DataFrame.unionByName, held).limit(MOST_BATCHES * 100).collect()
+    return lake.spark.createDataFrame(rows, f"table_name string, {BATCH} bigint")
 
 
-def mark_seen(lake: Lake, newest: str | None) -> None:
-    lake.replace(lake.spark.range(1).select(F.lit(newest).cast("timestamp").alias(ARRIVAL)), "bronze", SEEN)
+def arrivals(lake: Lake) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The rows of the batches no run has taken in yet, per table, and the ledger with them.
+
+    What counts is the batch and not any time in the rows: a partition of the broker may lag, so arrival times of a
+    later batch can lie before those of an earlier one.
+    """
+    held = batches_held(lake)
+    ledger = lake.read_or_none("bronze", LEDGER)
+    new = held if ledger is None else held.join(ledger, ["table_name", BATCH], "left_anti")
+    ids: dict[str, list[int]] = {}
+    for r in new.limit(MOST_BATCHES + 1).collect():
+        ids.setdefault(r.table_name, []).append(r[BATCH])
+    if sum(map(len, ids.values())) > MOST_BATCHES:
+        raise ValueError("too many new batches for one run: run the whole pipeline")
+    rows = {name: lake.read("bronze", f"bronze_{name}").filter(F.col(BATCH).isin(mine)) for name, mine in ids.items()}
+    return rows, held
 
 
 def reconcile(lake: Lake, ready_at: int = 5_000) -> DataFrame:
@@ -160,27 +179,34 @@ def reconcile(lake: Lake, ready_at: int = 5_000) -> DataFrame:
     return reports.layer_counts(tables).withColumn("ready", F.col("row_count") >= ready_at)
 
 
-def catch_up(lake: Lake, as_of) -> list[date]:
-    """Rebuild the days of all orders that arrived since the last run, however late they are.
+def catch_up(lake: Lake, as_of, max_invalid_rate: float = 0.1) -> list[date]:
+    """Rebuild what orders, lines and ratings of new batches touch, however late they are; equals a full run.
 
-    The newest arrival that a run has taken in is stored, so nothing falls between
-    two runs. Counts by lateness are kept per run in `lateness_runs`.
+    A line or a rating touches the days of its order and its own. The arrivals pass the quality gate first. Counts by
+    lateness are kept per run in `lateness_runs`.
     """
-    seen = lake.read_or_none("bronze", SEEN)
-    since = None if seen is None else seen.first()[0]
-    arrived = lake.read("bronze", "bronze_orders").filter(F.col(ARRIVAL) <= S.instant(as_of))
-    if since is not None:
-        arrived = arrived.filter(F.col(ARRIVAL) > F.lit(str(since)).cast("timestamp"))
-    newest = arrived.agg(F.max(ARRIVAL).cast("string")).first()[0]
-    if newest is None:
+    tune(lake.spark)
+    new, ledger = arrivals(lake)
+    new = {name: df for name, df in new.items() if not df.isEmpty()}
+    if not new:
+        lake.replace(ledger, "bronze", LEDGER)
         return []
-    summary = late.lateness_summary(late.classify_lateness(arrived, "order_time", ARRIVAL))
-    lake.append_or_create(summary.withColumn("run_at", S.instant(as_of)).coalesce(1), "bronze", "lateness_runs")
-    days = reprocess(lake, arrived, as_of)
-    mark_seen(lake, newest)
+    check_bronze(lake, as_of, max_invalid_rate, new)
+    if "orders" in new:
+        timed = late.classify_lateness(new["orders"], "order_time", ARRIVAL)
+        summary = late.lateness_summary(timed).withColumn("run_at", S.instant(as_of))
+        lake.append_or_create(summary.coalesce(1), "bronze", "lateness_runs")
+    days = reprocess(lake, touched_orders(lake, new), as_of, new.get("order_items"), new.get("ratings"))
+    lake.replace(ledger, "bronze", LEDGER)
     return days
 
 
+def touched_orders(lake: Lake, new: dict[str, DataFrame]) -> DataFrame:
+    """Bronze orders that came anew, or that a new line or rating belongs to."""
+    ids = reduce(DataFrame.union, (df.select("order_id") for df in new.values())).distinct()
+    return lake.read("bronze", "bronze_orders").join(ids, "order_id", "left_semi")
+
+
 def confirm_deliveries(lake: Lake, as_of, limit: int | None = None) -> list[date]:
     """End-of-day reports: orders under way become delivered in bronze, and their days are rebuilt.
 
@@ -223,20 +249,36 @@ def days_to_rebuild(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
     return dims.distinct_days(days)
 
 
-def reprocess(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
+def days_of(lake: Lake, layers: list[tuple[str, str]], rows: DataFrame, key: str, day: str) -> DataFrame:
+    """All days on which the tables hold a row with a key of `rows`."""
+    ids = rows.select(key).distinct()
+    held = [lake.read(*t).select(key, day).join(ids, key, "left_semi").select(F.col(day).alias("day"))
+            for t in layers if lake.exists(*t)]
+    return reduce(DataFrame.union, held)
+
+
+def reprocess(lake: Lake, late_orders: DataFrame, as_of, late_items: DataFrame | None = None,
+              late_ratings: DataFrame | None = None) -> list[date]:
     """Rebuild the days that late bronze orders touch; the same result as a full rebuild.
 
-    `late_orders` needs `order_id` and `order_time` and must already be in bronze.
-    Lines stand on the day they carry, which is later than today for an order dated
-    ahead; ratings may fall on later days and are found by order. Returns the days rebuilt.
+    `late_orders` needs `order_id` and `order_time` and must already be in bronze, as must late lines and ratings;
+    their orders must be among `late_orders`. Lines stand on the day they carry, which is later than today for an
+    order dated ahead; ratings may fall on later days and are found by order. Returns the days rebuilt.
     """
     tune(lake.spark)
-    if late.touched_dates(late_orders, "order_time", as_of).isEmpty():
+    if late_items is None and late_ratings is None and late.touched_dates(late_orders, "order_time", as_of).isEmpty():
         return []
     days = days_to_rebuild(lake, late_orders, as_of)
     today = F.to_date(S.instant(as_of))
     bronze_items = lake.read("bronze", "bronze_order_items")
     ahead = dims.distinct_days(bronze_items.filter(F.col("order_date") > today).select("order_date"))
+    if late_items is not None:
+        ahead += dims.distinct_days(days_of(lake, [("bronze", "bronze_order_items"), ("silver", "silver_order_items")],
+                                            late_items, "order_item_id", "order_date"))
+    if late_ratings is not None:
+        days = sorted({*days, *dims.distinct_days(days_of(
+            lake, [("bronze", "bronze_ratings"), ("silver", "silver_ratings")], late_ratings, "rating_id",
+            "rating_date"))})
     line_days = sorted({*days, *ahead})
 
     def of(layer: str, table: str, partition: str, which: list[date] = days) -> DataFrame:
@@ -254,6 +296,11 @@ def reprocess(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
         silver = CLEANERS[name](merge.newest_state(bronze, KEYS[name]), as_of)
         put(silver.filter(F.to_date("order_time").isin(which)), "silver", f"silver_{name}", which)
 
+    if late_ratings is not None:
+        # every day a rating stood on is among `days`, so its newest state is found there
+        states = merge.newest_state(of("bronze", "bronze_ratings", "rating_date"), KEYS["ratings"])
+        silver = CLEANERS["ratings"](states, as_of)
+        put(silver.filter(F.to_date("rating_time").isin(days)), "silver", "silver_ratings")
     orders = of("silver", "silver_orders", "order_date")
     items = of("silver", "silver_order_items", "order_date", line_days)
     ratings = of("silver", "silver_ratings", "rating_date")
@@ -262,25 +309,30 @@ def reprocess(lake: Lake, late_orders: DataFrame, as_of) -> list[date]:
 
     drivers, restaurants = lake.read("gold", "dim_drivers"), lake.read("gold", "dim_restaurants")
     calendar, menu = lake.read("gold", "dim_date"), lake.read("gold", "dim_menu_items")
-    put(facts.fact_orders(orders, drivers, restaurants, calendar), "gold", "fact_orders")
+    put(facts.fact_orders(orders, drivers, restaurants, calendar, dated=True), "gold", "fact_orders")
     fact_orders = of("gold", "fact_orders", "order_date")
     put(facts.fact_order_items(items, fact_orders, menu, calendar), "gold", "fact_order_items", line_days)
 
     # Ratings of orders that came, changed or went.
-    touched = lake.read("silver", TOUCHED).unionAll(orders.select("order_id")).distinct()
+    touched = lake.read("silver", TOUCHED).unionAll(orders.select("order_id"))
+    if late_ratings is not None:
+        touched = touched.unionAll(late_ratings.select("order_id"))
+    touched = touched.distinct()
     theirs = lake.read("silver", "silver_ratings").join(touched, "order_id", "left_semi")
     rating_days = dims.distinct_days(theirs.select("rating_date"))
+    if late_ratings is not None:
+        rating_days = sorted({*rating_days, *days})
     if rating_days:
         old = of("gold", "fact_ratings", "rating_date", rating_days)
         others = old.join(touched, "order_id", "left_anti").drop("rating_date")
-        own = facts.fact_ratings(theirs, fact_orders, drivers, restaurants, calendar)
+        own = facts.fact_ratings(theirs, fact_orders, drivers, restaurants, calendar, dated=True)
         put(others.unionByName(own), "gold", "fact_ratings", rating_days)
 
     put(facts.fact_restaurant_daily(
         of("silver", "silver_restaurant_performance", "performance_day"), restaurants, calendar,
-        facts.items_sold(items, orders)), "gold", "fact_restaurant_daily")
+        facts.items_sold(items, orders), dated=True), "gold", "fact_restaurant_daily")
     put(facts.fact_driver_daily(
-        of("silver", "silver_driver_performance", "performance_day"), drivers, calendar),
+        of("silver", "silver_driver_performance", "performance_day"), drivers, calendar, dated=True),
         "gold", "fact_driver_daily")
     put(facts.fact_business_summary(
         fact_orders, of("gold", "fact_ratings", "rating_date"), drivers, restaurants, calendar, as_of),

@@ -9,6 +9,7 @@ from math import gcd
 AS_OF = "TIMESTAMP '2001-07-01 00:00:00'"
 FIRST_LOAD = "TIMESTAMP '1995-01-01 00:00:00'"
 SECOND_LOAD = "TIMESTAMP '1998-07-01 00:00:00'"
+THIRD_LOAD = "TIMESTAMP '2000-02-01 00:00:00'"
 # as_of less 3650 and plus 730 days
 CALENDAR = (f"CAST({AS_OF} - INTERVAL 3650 DAY AS DATE)", f"CAST({AS_OF} + INTERVAL 730 DAY AS DATE)")
 LOOKBACK = f"{AS_OF} - INTERVAL 365 DAY"
@@ -298,6 +299,18 @@ SCD2_DRIVERS = _scd2(
     ["name", "phone", "vehicle_type", "rating", "is_active"], LATER_DRIVERS)
 
 
+LOADED_COLUMNS = ("restaurant_id, restaurant_name, cuisine_type, address, phone, rating, is_active, "
+                  "ingest_timestamp")
+
+
+def _dated(key: str, history: str) -> str:
+    """Versions of a history; the first of each key also stands for the days before it."""
+    return f"""
+        SELECT *, CASE WHEN row_number() OVER (PARTITION BY {key} ORDER BY record_start_date) = 1
+                       THEN DATE '0001-01-01' ELSE record_start_date END AS since
+        FROM (WITH one AS (SELECT 1) {history}) WHERE record_start_date < record_end_date"""
+
+
 def _daily_performance(where: str = "true") -> str:
     def mean(x: str) -> str:
         return f"sum({secs(x)}) / (60e0 * count({x}))"
@@ -354,6 +367,9 @@ EVENTS_ARRIVED = """
                  ELSE 'Critical' END AS lateness
      FROM events)"""
 
+CONTENT = (f"coalesce(status, '~'), coalesce(CAST({cents('total_amount')} AS VARCHAR), '~'), "
+           f"coalesce(CAST({cents('tip_amount')} AS VARCHAR), '~'), CAST(CAST(epoch(order_time) AS BIGINT) AS VARCHAR)")
+
 ORACLE: dict[str, str] = {
     # sources
     "json_decode": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
@@ -412,8 +428,64 @@ ORACLE: dict[str, str] = {
             WITH one AS (SELECT 1) {SCD2_RESTAURANTS}) h
           ON o.restaurant_id = h.restaurant_id AND CAST(o.order_time AS DATE) >= h.record_start_date
              AND CAST(o.order_time AS DATE) < h.record_end_date""", "silver_orders", "silver_restaurants"),
+    "scd2_rebuilt": sql(f"""
+        , loads AS (
+            SELECT {LOADED_COLUMNS}, {FIRST_LOAD} AS since FROM silver_restaurants WHERE is_active
+            UNION ALL SELECT {LOADED_COLUMNS}, {SECOND_LOAD} FROM ({LATER_RESTAURANTS})
+            UNION ALL SELECT {LOADED_COLUMNS}, {THIRD_LOAD} FROM silver_restaurants),
+        opened AS (
+            SELECT * FROM loads a WHERE NOT EXISTS (
+                SELECT 1 FROM loads b WHERE b.restaurant_id = a.restaurant_id
+                  AND b.since = (SELECT max(c.since) FROM loads c WHERE c.restaurant_id = a.restaurant_id AND c.since < a.since)
+                  AND b.restaurant_name IS NOT DISTINCT FROM a.restaurant_name AND b.address IS NOT DISTINCT FROM a.address
+                  AND b.cuisine_type IS NOT DISTINCT FROM a.cuisine_type AND b.is_active IS NOT DISTINCT FROM a.is_active)),
+        ended AS (
+            SELECT o.*, (SELECT min(n.since) FROM opened n WHERE n.restaurant_id = o.restaurant_id AND n.since > o.since) AS until,
+                   restaurant_id || '|' || CAST(o.since AS DATE) AS name FROM opened o)
+        SELECT {number('name')} AS restaurant_key, {LOADED_COLUMNS}, CAST(since AS DATE) AS record_start_date,
+               coalesce(CAST(until AS DATE), {OPEN_END}) AS record_end_date, until IS NULL AS is_current,
+               coalesce(until, since) AS updated_at
+        FROM ended""", "silver_restaurants"),
+    "dq_references": sql("""
+        SELECT 'order_id has no rating' AS rule, count(*) AS total_rows,
+               count(*) FILTER (WHERE order_id NOT IN (SELECT event_id FROM events)) AS invalid_rows
+        FROM bronze_items""", "bronze_items"),
+    "touched_days": sql("""
+        SELECT DISTINCT CAST(o.order_time AS DATE) AS day FROM bronze_orders o
+        WHERE order_id IN (SELECT order_id FROM bronze_ratings WHERE rating_type = 'purchase')""",
+        "bronze_orders", "bronze_ratings"),
+    # content of layers
+    "layer_fingerprints": sql(f"""
+        SELECT CAST(order_time AS DATE) AS bucket, count(*) AS rows,
+               CAST(sum(CAST('0x' || substr(md5(concat_ws('|', order_id, {CONTENT})), 1, 15) AS BIGINT)) AS VARCHAR)
+                   AS fingerprint
+        FROM silver_orders GROUP BY 1""", "silver_orders"),
+    "content_differences": sql(f"""
+        SELECT * FROM (
+            SELECT order_id, CASE WHEN s.order_id IS NULL THEN 'left only' ELSE 'both' END AS side,
+                   CASE WHEN s.order_id IS NOT NULL THEN concat_ws(',',
+                     CASE WHEN b.status IS DISTINCT FROM s.status THEN 'status' END,
+                     CASE WHEN {cents('b.total_amount')} IS DISTINCT FROM {cents('s.total_amount')} THEN 'total_cents' END,
+                     CASE WHEN {cents('b.tip_amount')} IS DISTINCT FROM {cents('s.tip_amount')} THEN 'tip_cents' END,
+                     CASE WHEN b.order_time IS DISTINCT FROM s.order_time THEN 'placed' END) END AS columns
+            FROM bronze_orders b LEFT JOIN silver_orders s USING (order_id))
+        WHERE side <> 'both' OR columns <> ''""", "bronze_orders", "silver_orders"),
     # facts
     "fact_orders": _whole("fact_orders"),
+    "fact_orders_as_of": sql(f"""
+        SELECT {key('o.order_id')} AS order_key, o.order_id, c.date_key, d.driver_key, r.restaurant_key, o.order_time,
+               o.delivery_time, o.status, o.total_amount,
+               {rounded('o.delivery_time_minutes', 1)} AS delivery_minutes,
+               {rounded('o.prep_time_minutes', 1)} AS prep_time_minutes,
+               coalesce(o.delivery_time_minutes > 45, false) AS sla_breached, o.cancelled, o.tip_amount,
+               o.ingest_timestamp
+        FROM silver_orders o
+             LEFT JOIN ({_dated("driver_id", SCD2_DRIVERS)}) d ON o.driver_id = d.driver_id
+               AND CAST(o.order_time AS DATE) >= d.since AND CAST(o.order_time AS DATE) < d.record_end_date
+             LEFT JOIN ({_dated("restaurant_id", SCD2_RESTAURANTS)}) r ON o.restaurant_id = r.restaurant_id
+               AND CAST(o.order_time AS DATE) >= r.since AND CAST(o.order_time AS DATE) < r.record_end_date
+             LEFT JOIN calendar c ON CAST(o.order_time AS DATE) = c.full_date""",
+        "silver_orders", "silver_drivers", "silver_restaurants", "calendar"),
     "fact_order_items": _whole("fact_items"),
     "fact_ratings": _whole("fact_ratings"),
     "fact_restaurant_daily": sql(f"""

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from courierlake.functions import exact as X
 from courierlake.functions import scalars as S
 from courierlake.functions.keys import numbered
-from courierlake.operators import clean, daily, dims, facts, late, merge, reports, rules
+from courierlake.operators import clean, daily, dims, facts, late, merge, reconcile, reports, rollups, rules
 from courierlake.schemas import WIRE_ORDER_ITEMS, WIRE_ORDERS
 from courierlake.sources import wire
-from courierlake.sources.given import AS_OF, Given
+from courierlake.sources.given import AS_OF, FIRST_LOAD, Given
 from courierlake.streaming import refine
 
 SECOND_LOAD = "1998-07-01 00:00:00"
+THIRD_LOAD = "2000-02-01 00:00:00"
 LOOKBACK = "365 DAYS"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,8 +169,22 @@ def scd2_restaurants(g: Given) -> DataFrame:
 def scd2_as_of(g: Given) -> DataFrame:
     history = dims.scd2(g.earlier_restaurants(), g.later_restaurants(), dims.RESTAURANTS, SECOND_LOAD)
     orders = g.silver_orders(drivers=False).select("order_id", "restaurant_id", "order_time")
-    return dims.lookup_as_of(orders, history, dims.RESTAURANTS, F.to_date("order_time"),
-                             earliest="1995-01-01", latest=AS_OF[:10])
+    return dims.lookup_as_of(orders, history, dims.RESTAURANTS, F.to_date("order_time"))
+
+
+def _loads(first: DataFrame, second: DataFrame, third: DataFrame) -> DataFrame:
+    """Three snapshots of a dimension; the one loaded last is not the newest."""
+    def at(df: DataFrame, when: str) -> DataFrame:
+        return df.withColumn("loaded_at", F.lit(when).cast("timestamp"))
+
+    return at(second, SECOND_LOAD).unionByName(at(third, THIRD_LOAD)).unionByName(at(first, FIRST_LOAD))
+
+
+@query
+def scd2_rebuilt(g: Given) -> DataFrame:
+    """The first names come back with the third load, so a version may return."""
+    first = g.silver_restaurants().filter("is_active")
+    return dims.history_of(_loads(first, g.later_restaurants(), g.silver_restaurants()), dims.RESTAURANTS)
 
 
 # --- facts ----------------------------------------------------------------------
@@ -179,6 +194,14 @@ def fact_orders(g: Given) -> DataFrame:
     return g.fact_orders()
 
 
+@query
+def fact_orders_as_of(g: Given) -> DataFrame:
+    """Order facts with the keys of the dimension versions of their day, over two loads."""
+    drivers = dims.scd2(g.earlier_drivers(), g.later_drivers(), dims.DRIVERS, SECOND_LOAD)
+    restaurants = dims.scd2(g.earlier_restaurants(), g.later_restaurants(), dims.RESTAURANTS, SECOND_LOAD)
+    return facts.fact_orders(g.silver_orders(), drivers, restaurants, g.calendar, dated=True)
+
+
 @query
 def fact_order_items(g: Given) -> DataFrame:
     return facts.fact_order_items(
@@ -287,6 +310,30 @@ def daily_windows(g: Given) -> DataFrame:
     return refine.daily_windows(g.silver_orders(drivers=False)).drop("customers_estimate")
 
 
+# --- content of layers, sketches ----------------------------------------------------
+
+@query
+def layer_fingerprints(g: Given) -> DataFrame:
+    found = reconcile.fingerprints(g.silver_orders(drivers=False), F.to_date("order_time"), "order_id",
+                                   reconcile.order_columns())
+    return found.withColumn("fingerprint", F.col("fingerprint").cast("string"))
+
+
+@query
+def content_differences(g: Given) -> DataFrame:
+    """What cleaning changed: bronze orders against silver ones, day by day, then by key."""
+    day = F.to_date("order_time")
+    return reconcile.differing_rows(g.bronze_orders(drivers=False), g.silver_orders(drivers=False), day, day, "order_id",
+                                    reconcile.order_columns())
+
+
+@query
+def customers_by_month(g: Given) -> DataFrame:
+    """Estimates from sketches per day and restaurant; no SQL gives the same numbers."""
+    sketches = rollups.customer_sketches(g.silver_orders(drivers=False))
+    return rollups.distinct_customers(sketches, F.trunc("day", "MM").alias("month"))
+
+
 # --- quality ----------------------------------------------------------------------
 
 @query
@@ -324,6 +371,23 @@ def orphan_lines(g: Given) -> DataFrame:
     return rules.orphans(g.bronze_order_items(), rated, "order_id").select("order_item_id", "order_id", "item_id")
 
 
+@query
+def dq_references(g: Given) -> DataFrame:
+    """Lines whose order no rating names, counted as a rule of the gate."""
+    rated = g.table("events").select(F.col("event_id").alias("order_id"))
+    return rules.orphan_metrics(g.bronze_order_items(), rated, "order_id", "order_id has no rating")
+
+
+@query
+def touched_days(g: Given) -> DataFrame:
+    """The days of orders that late ratings belong to: what a rebuild after them has to read."""
+    ratings = g.bronze_ratings(restaurants=False).filter("rating_type = 'purchase'")
+    orders = g.bronze_orders(lines=False, drivers=False)
+    days = late.touched_dates(orders.join(ratings.select("order_id").distinct(), "order_id", "left_semi"),
+                              "order_time", AS_OF)
+    return days.toDF("day").distinct()
+
+
 @query
 def orphan_ratings(g: Given) -> DataFrame:
     """Ratings of orders that do not exist."""

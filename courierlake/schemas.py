@@ -122,6 +122,8 @@ PARTITIONED = {
     "silver_daily_performance": ("performance_day", "performance_date"),
     "silver_scored_orders": ("order_date", "order_time"),
     "fact_orders_stream": ("order_day", "order_time"),
+    "fact_order_items_stream": ("order_day", "order_time"),
+    "orphan_order_items_stream": ("order_day", "order_time"),
     "fact_restaurant_daily": ("performance_day", "date_key"),
     "fact_driver_daily": ("performance_day", "date_key"),
     "fact_business_summary": ("summary_day", "period_start"),
@@ -129,6 +131,6 @@ PARTITIONED = {
 
 LAYERS = {
     "bronze": [f"bronze_{t}" for t in BRONZE] + ["quarantine_orders", "quarantine_order_items"],
-    "silver": [f"silver_{t}" for t in SILVER_COLUMNS] + ["silver_scored_orders"],
-    "gold": [*GOLD_COLUMNS, "fact_orders_stream"],
+    "silver": [f"silver_{t}" for t in SILVER_COLUMNS] + ["silver_scored_orders", "orphan_order_items_stream"],
+    "gold": [*GOLD_COLUMNS, "fact_orders_stream", "fact_order_items_stream"],
 }

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from courierlake.schemas import BRONZE, LAYERS, PARTITIONED
 
 BATCH = "batch_id"
-LOADED = -1  # batch_id of rows that came by a load, not by a stream
+LOADED = -(1 << 40)  # batch_id of rows that came by a load, not by a stream; later loads count up from it
 ARRIVAL = "arrival_time"  # when the source took a record; null for loaded rows
-STREAMED = ("bronze_orders", "bronze_order_items")
+STREAMED = ("bronze_orders", "bronze_order_items", "bronze_ratings")
 POINTER = "version bigint, columns string"
 
 
@@ -202,7 +202,12 @@ class Lake:
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         """Plain append to an existing table of the same columns."""
         target = self.read(layer, table)
-        stored, partitions = self._stored(df, table)
+        # each load is a batch of its own, so that a run can tell which loads it has taken in
+        load = None
+        if BATCH in target.columns and BATCH not in df.columns:
+            last = target.filter(F.col(BATCH) < 0).agg(F.max(BATCH)).first()[0]
+            load = LOADED if last is None else last + 1
+        stored, partitions = self._stored(df, table, load)
         if sorted(stored.columns) != sorted(target.columns):
             raise ValueError(f"{layer}.{table} has columns {target.columns}, not {df.columns}")
         writer = stored.write.mode("append")
@@ -210,6 +215,10 @@ class Lake:
             writer = writer.partitionBy(*partitions)
         writer.parquet(f"{self.path(layer, table)}/v={self.version(layer, table)}")
 
+    def batches(self, layer: str, table: str) -> DataFrame:
+        """The batch ids a table holds, from its partition values."""
+        return self.read(layer, table).select(BATCH).distinct()
+
     def ensure(self, layer: str, table: str, schema: T.StructType) -> None:
         """An empty table when there is none yet."""
         if not self.exists(layer, table):

@@ -62,10 +62,13 @@ def refresh_from_stream(lake: Lake, batch: DataFrame, batch_id: int) -> None:
     fresh = facts.recent_fact_orders(latest_orders(own), drivers, restaurants, as_of)
     held = lake.read_or_none("gold", "fact_orders_stream")
     if held is not None:
-        # an order that comes again replaces its row, so the table has one row per order
+        # an order that comes again replaces its row, whatever day it stood on; `streaming.state` keeps that day in
+        # state, here two columns of the table are searched for it
+        moved = held.select("order_id", "order_day").join(fresh.select("order_id"), "order_id", "left_semi")
+        days = sorted({*days, *dims.distinct_days(moved.select("order_day"))})
         of_days = held.filter(F.col("order_day").isin(days) | F.col("order_day").isNull()).select(*fresh.columns)
         fresh = of_days.join(fresh.select("order_id"), "order_id", "left_anti").unionByName(fresh)
-    lake.replace_days(fresh, "gold", "fact_orders_stream")
+    lake.replace_days(fresh, "gold", "fact_orders_stream", days)
 
     # orders of the last day, for customers seen in this batch only
     recent = scored.filter(F.col("order_date") >= F.date_sub(F.lit(as_of).cast("date"), 1))

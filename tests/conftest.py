@@ -26,5 +26,10 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture(scope="session")
-def small():
-    return f"{TESTDATA}/sf0.001"
+def testdata():
+    return TESTDATA
+
+
+@pytest.fixture(scope="session")
+def small(testdata):
+    return f"{testdata}/sf0.001"

@@ -1,6 +1,7 @@
 """History-keeping dimensions: properties over successive snapshots, and the as-of lookup."""
 
-from datetime import date
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -122,10 +123,63 @@ FACTS = [(1, "a", "2024-01-09"), (2, "a", "2024-01-10"), (3, "a", "2024-01-19"),
 WANT = {1: None, 2: 1, 3: 1, 4: 2, 5: 2, 6: 4, 7: 4, 8: None, 9: 5, 10: None, 11: None, 12: None}
 
 
-@pytest.mark.parametrize("bounds", [("2024-01-01", "2024-06-30"), ("2024-02-01", "2024-02-01"),
-                                    ("2020-01-01", "2035-01-01")])
-def test_as_of_lookup_does_not_depend_on_its_bounds(spark, bounds):
-    assert lookup(spark, FACTS, HISTORY, earliest=bounds[0], latest=bounds[1]) == WANT
+@pytest.mark.parametrize("slice_by", ["MM", "DD", "YEAR"])
+def test_as_of_lookup_does_not_depend_on_its_slices(spark, slice_by):
+    assert lookup(spark, FACTS, HISTORY, slice_by=slice_by) == WANT
+    assert lookup(spark, FACTS, HISTORY, slice_by=slice_by, backdate=True) == {**WANT, 1: 1, 8: 5}
+
+
+def test_as_of_lookup_against_all_versions(spark):
+    rng = random.Random(2)
+    day = date(2024, 1, 1)
+    versions_ = []
+    for key in "abc":
+        cuts = sorted(rng.sample(range(400), 12))
+        versions_ += [(key, len(versions_) + n, str(day + timedelta(a)), str(day + timedelta(b)))
+                      for n, (a, b) in enumerate(zip(cuts, cuts[1:])) if rng.random() < 0.8]
+    asked = [(n, rng.choice("aaaaabcd"), str(day + timedelta(rng.randrange(450)))) for n in range(600)]
+    want = {n: next((v[1] for v in versions_ if v[0] == k and v[2] <= d < v[3]), None) for n, k, d in asked}
+    assert lookup(spark, asked, versions_) == want
+    plan = dims.lookup_as_of(spark.createDataFrame(asked, "n int, driver_id string, day string"), spark.createDataFrame(versions_, "driver_id string, driver_key bigint, record_start_date "
+        "string, record_end_date string").withColumns({c: F.col(c).cast("date") for c in (
+            "record_start_date", "record_end_date")}), dims.DRIVERS, F.col("day").cast("date"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text and "explode" not in text.lower()
+
+
+LOADS = st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 6), st.sampled_from(["x", "y"]),
+                           st.sampled_from(["car", None])), min_size=1, max_size=9, unique_by=lambda r: r[:2])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(loads=LOADS, data=st.data())
+def test_history_of_loads_in_any_order(spark, loads, data):
+    """Equal to one scd2 after the other by time, whatever the order of the rows; intervals never invert."""
+    def built(rows):
+        frame = spark.createDataFrame(
+            [(k, n, None, v, None, True, datetime(2024, 1, 1), datetime(2024, 1, 1 + d)) for k, d, n, v in rows],
+            "driver_id string, name string, phone string, vehicle_type string, rating double, is_active boolean, "
+            "ingest_timestamp timestamp, loaded_at timestamp")
+        return sorted((r.driver_id, r.record_start_date, r.record_end_date, r.name, r.vehicle_type or "", r.is_current,
+                       r.driver_key) for r in dims.history_of(frame, dims.DRIVERS).collect())
+
+    got = built(loads)
+    assert built(data.draw(st.permutations(loads))) == got
+    want = []
+    for key in sorted({r[0] for r in loads}):
+        mine = sorted((d, n, v or "") for k, d, n, v in loads if k == key)
+        kept = [m for i, m in enumerate(mine) if not i or mine[i - 1][1:] != m[1:]]
+        for i, (d, n, v) in enumerate(kept):
+            until = date(2024, 1, 1 + kept[i + 1][0]) if i + 1 < len(kept) else date(9999, 12, 31)
+            want.append((key, date(2024, 1, 1 + d), until, n, v, i + 1 == len(kept)))
+    assert [g[:6] for g in got] == sorted(want)
+    assert all(g[1] < g[2] for g in got) and len({g[6] for g in got}) == len(got)
+
+
+def test_older_snapshot_is_refused(spark):
+    dim = dims.first_load(snapshot(spark, [("a", "Ann", "car")]), dims.DRIVERS, "2024-02-01")
+    with pytest.raises(Exception, match="older than a current version"):
+        dims.scd2(dim, snapshot(spark, [("a", "Ann", "van")]), dims.DRIVERS, "2024-01-01").collect()
 
 
 def test_calendar(spark):
