@@ -13,6 +13,7 @@ repeated rows are packed each; an empty table gives no rows; other columns are i
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -109,31 +110,39 @@ def dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
 
 
 def fillings(counts: dict[int, int], lengths: np.ndarray, room: int, most: int, steps: int) -> list[tuple[int, ...]]:
-    """Undominated sets of remaining lengths for `room`, the least waste first; at most `most` after `steps` steps."""
+    """Undominated sets of remaining lengths for `room`, the least waste first.
+
+    Sets are walked length by length, the largest first, each with as many copies as fit and then fewer. The walk ends
+    after `steps` sets in part or whole, or when `most` sets without waste are found; it always reaches a whole one.
+    """
     found: list[tuple[int, tuple[int, ...]]] = []
-    budget = steps
-
-    def extend(held: tuple[int, ...], rest: int, largest: int) -> None:
-        nonlocal budget
-        budget -= 1
-        top = int(np.searchsorted(lengths, min(rest, largest), side="right"))
-        usable = False
-        if rest in counts and rest <= largest and counts[rest] > held.count(rest):
-            found.append((0, held + (rest,)))
-            usable = True
-        else:
-            for i in range(top - 1, -1, -1):
-                n = int(lengths[i])
-                if counts[n] <= held.count(n):
-                    continue
-                usable = True
-                extend(held + (n,), rest - n, n)
-                if budget < 0 or sum(1 for f in found if not f[0]) >= most:
-                    break
-        if not usable:
-            found.append((rest, held))
-
-    extend((), room, room)
+    whole = 0
+
+    def choices(rest: int, top: int):
+        """(index, copies) that may follow: smaller lengths only, so a set is met once."""
+        if top and rest in counts and rest <= lengths[top - 1]:
+            yield int(np.searchsorted(lengths, rest)), 1
+            return
+        for i in range(min(top, int(np.searchsorted(lengths, rest, side="right"))) - 1, -1, -1):
+            n = int(lengths[i])
+            for copies in range(min(counts[n], rest // n), 0, -1):
+                yield i, copies
+
+    open_: list[tuple[tuple[int, ...], int, Iterator[tuple[int, int]], bool]] = [
+        ((), room, choices(room, len(lengths)), True)]
+    while open_ and whole < most and (steps > 0 or not found):
+        held, rest, left, fresh = open_.pop()
+        step = next(left, None)
+        if step is None:
+            if fresh:
+                found.append((rest, held))
+                whole += not rest
+            continue
+        open_.append((held, rest, left, False))
+        i, copies = step
+        n = int(lengths[i])
+        open_.append((held + (n,) * copies, rest - n * copies, choices(rest - n * copies, i), True))
+        steps -= 1
     kept: list[tuple[int, ...]] = []
     for _, held in sorted(found, key=lambda f: (f[0], len(f[1])))[: 4 * most]:
         if not any(len(held) <= 12 and dominates(k, held) for k in kept):
@@ -143,16 +152,21 @@ def fillings(counts: dict[int, int], lengths: np.ndarray, room: int, most: int,
     return kept
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 20_000, branches: int = 3,
-                   steps: int = 64) -> list[Pattern]:
-    """Patterns that hold every length as often as `counts` says, in as few sequences as the search finds."""
+def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 20_000, branches: int = 6,
+                   steps: int = 128) -> list[Pattern]:
+    """Patterns that hold every length as often as `counts` says, in as few sequences as the search finds.
+
+    What bounds the search: `nodes` patterns tried in all; per pattern at most `branches` fillings, taken from a walk of
+    `steps` sets; dominance is tested on fillings of up to 12 items; a pattern is repeated as often as it can be, and on
+    the way back half as often, a quarter and so on. None of these drops a document: the best packing found holds all.
+    """
     total = sum(n * c for n, c in counts.items())
     bound = -(-total // capacity)
     incumbent = best_fit(counts, capacity)
     fewest = sum(m for _, m in incumbent)
     counts = dict(counts)
     chosen: list[Pattern] = []
-    open_nodes: list[tuple[int, int, list[tuple[int, ...]]]] = []  # (bins before, waste before, fillings left)
+    open_nodes: list[tuple[int, int, list[tuple[tuple[int, ...], int]]]] = []  # (bins, waste before, (filling, most) left)
     bins = waste = 0
 
     def undo() -> None:
@@ -167,26 +181,28 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 20_000, b
         slack = (fewest - 1) * capacity - total  # the waste a better packing may have
         if not counts:
             fewest, incumbent = bins, list(chosen)
-            options: list[tuple[int, ...]] = []
+            options: list[tuple[tuple[int, ...], int]] = []
         else:
             nodes -= 1
             largest = max(counts)
             counts[largest] -= 1
             if not counts[largest]:
                 del counts[largest]
-            options = [(largest, *f) for f in fillings(counts, lengths(), capacity - largest, branches, steps)]
+            options = [((largest, *f), 1 << 62) for f in fillings(counts, lengths(), capacity - largest, branches, steps)]
             counts[largest] = counts.get(largest, 0) + 1
         open_nodes.append((bins, waste, options))
         while open_nodes:
             bins, waste, options = open_nodes[-1]
             slack = (fewest - 1) * capacity - total
-            held = options.pop(0) if options else None
+            held, most = options.pop(0) if options else (None, 0)
             spare = capacity - sum(held) if held else 0
             if held and (waste + spare <= slack or len(held) == sum(counts.values())):
-                use = {n: held.count(n) for n in held}
-                many = min(counts[n] // k for n, k in use.items())
+                use = Counter(held)
+                many = min(most, *(counts[n] // k for n, k in use.items()))
                 if spare:
                     many = max(1, min(many, (slack - waste) // spare))
+                if many > 1:
+                    options.append((held, many // 2))
                 for n, k in use.items():
                     counts[n] -= k * many
                     if not counts[n]:

@@ -133,6 +133,18 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert held == Counter(sizes) and sum(m for _, m in found) == fewest(sizes, 12)
 
 
+def test_thousands_of_equal_short_pieces():
+    for counts, capacity, want in (({3: 4096}, 4096, 4), ({2: 100_000}, 4096, 49), ({1: 1, 4096: 3}, 4096, 4),
+                                   ({3: 100_000, 5: 7, 1000: 33}, 4096, 82), ({7: 5000, 11: 4999, 13: 3}, 4096, 22)):
+        held = Counter()
+        found = packing.bin_completion(dict(counts), capacity)
+        for pattern, many in found:
+            assert sum(pattern) <= capacity
+            for n in pattern:
+                held[n] += many
+        assert held == Counter(counts) and sum(m for _, m in found) == want
+
+
 def test_completion_is_never_worse_than_best_fit():
     rng = np.random.default_rng(5)
     for size in (50, 400):
