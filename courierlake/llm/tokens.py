@@ -35,7 +35,7 @@ class WordEncoder:
         self.marks = {m: self._whole([m])[0] for m in ".,"}
         self.plain &= all(self._whole([f"ab{m}"])[0] == self._whole(["ab"])[0] + ids for m, ids in self.marks.items())
         self.cores: dict[str, list[int]] = {}
-        self._keep(pa.array([], pa.large_string()), np.zeros(0, np.int32), np.zeros(0, np.int64))
+        self._keep([], np.zeros(0, np.int32), np.zeros(0, np.int64))
 
     def _whole(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -53,8 +53,8 @@ class WordEncoder:
             ids = self.cores[word] = self._model(word)
         return ids
 
-    def _keep(self, words: pa.Array, flat: np.ndarray, lengths: np.ndarray) -> None:
-        self.words, self.flat, self.lengths = words, flat, lengths
+    def _keep(self, words: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.known, self.flat, self.lengths = dict(zip(words, range(len(words)))), flat, lengths
         self.starts = np.cumsum(lengths) - lengths
         self.hits = np.zeros(len(lengths), np.int32)
 
@@ -62,7 +62,8 @@ class WordEncoder:
         kept = np.flatnonzero(self.hits > 1)
         if len(kept) > self.remembered // 2:
             kept = np.sort(kept[np.argsort(-self.hits[kept], kind="stable")[: self.remembered // 2]])
-        self._keep(self.words.take(pa.array(kept)), gather(self.flat, self.starts[kept], self.lengths[kept]),
+        words = list(self.known)
+        self._keep([words[i] for i in kept.tolist()], gather(self.flat, self.starts[kept], self.lengths[kept]),
                    self.lengths[kept])
 
     def _encode(self, words: pa.Array) -> list[list[int]]:
@@ -76,28 +77,27 @@ class WordEncoder:
                 for w, p in zip(listed, plain)]
 
     def _numbers(self, words: pa.Array) -> np.ndarray:
-        found = pc.index_in(words, value_set=self.words)
-        new = words.filter(found.is_null())
-        if len(new):
-            encoded = self._encode(new)
+        listed, get = words.to_pylist(), self.known.get
+        numbers = np.fromiter((get(w, -1) for w in listed), np.int64, len(listed))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            encoded = self._encode(words.take(pa.array(missing)))
             lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            at = len(self.flat)
-            self.words = pa.concat_arrays([self.words, new])
+            at, first = len(self.flat), len(self.lengths)
+            numbers[missing] = first + np.arange(len(missing))
+            self.known.update(zip((listed[i] for i in missing.tolist()), range(first, first + len(missing))))
             self.flat = np.concatenate([self.flat, np.fromiter((i for e in encoded for i in e), np.int32,
                                                                int(lengths.sum()))])
             self.starts = np.concatenate([self.starts, at + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
-            self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int32)])
-        missing = found.is_null().to_numpy(zero_copy_only=False)
-        numbers = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        numbers[missing] = np.arange(len(self.lengths) - len(new), len(self.lengths))
+            self.hits = np.concatenate([self.hits, np.zeros(len(missing), np.int32)])
         return numbers
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
-        if len(self.words) > self.remembered:
+        if len(self.known) > self.remembered:
             self._forget()
         numbers = self._numbers(coded.dictionary.cast(pa.large_string()))
         codes = coded.indices.to_numpy(zero_copy_only=False)
