@@ -90,9 +90,12 @@ def by_trie(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def by_join(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same for a table of rules (action, host, path), of any size; of equal rules the larger action counts."""
-    table = rules.groupBy(F.col("host").alias("suffix"), F.col("path").alias("start")).agg(
-        F.max("action").alias("action"))
+    """The same for a table of rules (action, host, path, position), of any size; of equal rules the last position counts.
+
+    A table without `position` has no order, so there the larger action counts.
+    """
+    last = F.max_by("action", "position") if "position" in rules.columns else F.max("action")
+    table = rules.groupBy(F.col("host").alias("suffix"), F.col("path").alias("start")).agg(last.alias("action"))
     labels = F.split("host", r"\.")
     keyed = rows.withColumn("row", F.monotonically_increasing_id()).withColumn(
         "suffix", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
@@ -115,6 +118,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] | DataFrame, default: str
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url").select("page_id", host.alias("host"), path.alias("path"))
     if not isinstance(rules, DataFrame) and len(rules) > most_rules:
-        rules = pages.sparkSession.createDataFrame(rules, "action string, host string, path string")
+        rules = pages.sparkSession.createDataFrame([(*r, n) for n, r in enumerate(rules)],
+                                                   "action string, host string, path string, position long")
     judged = by_join(rows, rules) if isinstance(rules, DataFrame) else by_trie(rows, rules)
     return judged.select("page_id", "host", "path", "rule", F.coalesce("action", F.lit(default)).alias("verdict"))
