@@ -8,6 +8,8 @@ import pandas as pd
 import plain
 import pytest
 
+from test_similar import sets_of
+
 from courierlake.llm import licenses, mixing, privacy, quality, queries, urls
 
 PYTHON = re.compile("Python|Pandas|Arrow")
@@ -386,8 +388,11 @@ def test_pipeline(spark, small, tokenizer):
     # Plain versions of the stages that decide: base rules, near copies, base spans, ids.
     kept = {r["doc_id"] for r in quality.judge(docs).collect() if r["kept"]}
     assert not [i for i in kept if statistics(texts[i])[-1]]
-    groups = plain.near_duplicates(pd.DataFrame([(i, texts[i]) for i in sorted(kept)], columns=["doc_id", "text"]))
-    kept = set(groups[groups["doc_id"] == groups["component_id"]]["doc_id"])
+    rows = [(i, texts[i]) for i in sorted(kept)]
+    prints, sets = [plain.simhash(t) for _, t in rows], [sets_of(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4
+             or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    kept = {rows[i][0] for i, root in enumerate(plain.roots(len(rows), links)) if i == root}
     assert set(got["doc_id"]) == kept
     clean = {i: texts[i] for i in kept}
     for i, t in clean.items():

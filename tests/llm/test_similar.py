@@ -62,3 +62,19 @@ def test_pairs_at_the_limit_share_a_key():
         keys = near.minhash_keys([a, b])
         met += bool((keys[0] == keys[1]).any())
     assert met == 400
+
+
+def test_chains_beyond_the_first_document(spark, texts, monkeypatch):
+    """Copies of copies: many are too far from the smallest document and only link to one another."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for _ in range(4):
+        text = [f"w{n}" for n in rng.integers(0, 5000, 100)]
+        for step in range(40):
+            text = list(text)
+            text[int(rng.integers(0, 100))] = f"v{step}"
+            rows.append((len(rows), " ".join(text)))
+    rng.shuffle(rows)
+    monkeypatch.setattr(near, "BLOCK", 7)
+    found = {r["node"]: r["root"] for r in near.near_copies(texts([(int(i), t) for i, t in rows])).collect()}
+    assert {int(i) for i, _ in rows if found.get(int(i), int(i)) == int(i)} == firsts(sorted((int(i), t) for i, t in rows))
