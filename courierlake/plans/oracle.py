@@ -450,8 +450,8 @@ ORACLE: dict[str, str] = {
         SELECT 'order_id has no rating' AS rule, count(*) AS total_rows,
                count(*) FILTER (WHERE order_id NOT IN (SELECT event_id FROM events)) AS invalid_rows
         FROM bronze_items""", "bronze_items"),
-    "touched_days": sql("""
-        SELECT DISTINCT CAST(o.order_time AS DATE) AS day FROM bronze_orders o
+    "touched_days": sql(f"""
+        SELECT DISTINCT CAST(least(o.order_time, {AS_OF}) AS DATE) AS day FROM bronze_orders o
         WHERE order_id IN (SELECT order_id FROM bronze_ratings WHERE rating_type = 'purchase')""",
         "bronze_orders", "bronze_ratings"),
     # content of layers
