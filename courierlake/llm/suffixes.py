@@ -1,18 +1,25 @@
-"""Operator 6: byte strings that occur twice removed, by difference-cover suffix sorting.
+"""Operator 6: byte strings that occur twice removed, by a distributed difference cover.
 
 A byte goes if a string of `length` bytes that covers it also starts anywhere else. To bring equal strings together
 without sorting all suffixes in one place, every start is dealt by the smallest hash among the 32-byte grams of its
 string: equal strings have the same smallest gram, at the same place. The starts that share a smallest gram are
-neighbours and form a context, the text that their strings cover. Contexts that are equal byte for byte are counted
-and kept once; grams with a single context need no sorting.
-
-All contexts of a gram meet in one task, which sorts the suffixes at their starts by the difference-cover algorithm:
-triples at positions not divisible by three are sorted and named, names are sorted by recursion until they span
-`length` bytes, the remaining suffixes are ordered by their first byte and the rank behind it, and neighbours in the
-order are compared over `length` bytes. Contexts lie so that their gram starts at a multiple of three, hence equal
-strings fall into the same residue class and the classes need not be merged at the top; below they are. A gram with
-more than `most_contexts` contexts is split further instead, by pieces of a few neighbouring starts and, where pieces
-differ in part, by their strings, which is linear in them.
+neighbours and form a context, the text that their strings cover. What follows goes one way for every gram, however
+many contexts it has:
+
+- A gram that all its places show with the same context repeats in all of its strings.
+- Else the starts of a context are cut into pieces of `window` neighbours, by their distance from the gram. The bytes
+  that all strings of a piece share are its core: of each `window` starts the last one is sampled, and the core is what
+  stands behind it. Cores are named by 64-bit hashes, so names agree across tasks. A core that occurs once has no
+  repeats, and one that stands in equal pieces only repeats in all their strings.
+- What is left are pieces with the same core and different ends. They are dealt by core, at most about `together` of one
+  core to a batch, and a batch sorts the suffixes at their starts by the difference-cover algorithm: triples at
+  positions not divisible by three are sorted and named, names are sorted by recursion until they span `length` bytes,
+  the remaining suffixes are ordered by their first byte and the rank behind it, and neighbours in the order are compared
+  over `length` bytes. Pieces lie so that their gram starts at a multiple of three, hence equal strings fall into the
+  same residue class and the classes need not be merged at the top; below they are. The different strings of all
+  batches are then merged under 128-bit names with the number of their copies.
+
+Every step is linear in its rows, counts have a map-side part, and no gram, context or core meets whole in one task.
 
 Defined results: null or empty text is no bytes; repeated rows remove each other where they are long enough; a row
 without doc_id is handled like any other; an empty table gives no rows; other columns are ignored.
@@ -30,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import settle, width, workspace
+from .common import drop, settle, width, workspace
 
 GRAM = 32
 BASE = 0x9E3779B97F4A7C15
@@ -123,7 +130,7 @@ def find_contexts(length: int):
 
 
 def cut_texts(length: int):
-    """(text, wanted) to (gram, context, starts, place, copies, many, said), the text of each wanted context."""
+    """(text, wanted) to (gram, context, starts, place, copies, said), the text of each wanted context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,11 +138,11 @@ def cut_texts(length: int):
                 yield pa.RecordBatch.from_arrays([
                     *(pa.array([w[c] for w in wanted], t) for c, t in
                       (("gram", pa.int64()), ("context", pa.int64()), ("starts", pa.int32()), ("place", pa.int32()),
-                       ("copies", pa.int64()), ("many", pa.int64()))),
+                       ("copies", pa.int64()))),
                     pa.array([text[w["first"]:w["first"] + w["starts"] - 1 + length] for w in wanted], pa.binary())],
-                    names=["gram", "context", "starts", "place", "copies", "many", "said"])
+                    names=["gram", "context", "starts", "place", "copies", "said"])
 
-    return run, "gram long, context long, starts int, place int, copies long, many long, said binary"
+    return run, "gram long, context long, starts int, place int, copies long, said binary"
 
 
 # ---- difference cover ----------------------------------------------------------------------------------------------
@@ -208,9 +215,8 @@ def same_strings(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int, at
     return out
 
 
-def repeated_starts(said: list[bytes], place: np.ndarray, starts: np.ndarray, copies: np.ndarray,
-                    length: int) -> list[np.ndarray]:
-    """Per context, whether the string at each of its starts starts elsewhere too; contexts count `copies` times."""
+def string_names(said: list[bytes], place: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """A number for the string at each start of each text; equal strings have equal numbers."""
     sizes = np.fromiter(map(len, said), np.int64, len(said))
     begin = np.zeros(len(said), np.int64)
     at = 0
@@ -225,55 +231,25 @@ def repeated_starts(said: list[bytes], place: np.ndarray, starts: np.ndarray, co
     rank = sample_ranks(x, length)
     owner = np.repeat(np.arange(len(said)), starts)
     start = begin[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(starts) - starts, starts)
-    found = copies[owner] > 1
+    names = np.zeros(len(owner), np.int64)
+    told = 0
     for k in range(3):
         mine = np.flatnonzero(start % 3 == k)
+        if not len(mine):
+            continue
         s = start[mine]
         order = rank[s] if k else x[s] * (int(rank.max()) + 1) + rank[s + 1]
         mine = mine[np.argsort(order, kind="stable")]
         equal = same_strings(data, start[mine[:-1]], start[mine[1:]], length)
-        found[mine[:-1][equal]] = True
-        found[mine[1:][equal]] = True
-    return np.split(found, np.cumsum(starts)[:-1])
-
+        names[mine] = told + np.concatenate([[0], np.cumsum(~equal)])
+        told = int(names[mine[-1]]) + 1
+    return names
 
-def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last place of each run of true."""
-    edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
+# ---- pieces --------------------------------------------------------------------------------------------------------
 
-def sort_contexts(length: int, batch_bytes: int = 1 << 20):
-    """Rows of cut_texts, sorted by gram, to (gram, context, runs): runs of starts whose strings repeat."""
-
-    def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        flags = repeated_starts(rows["said"].tolist(), rows["place"].to_numpy(np.int64),
-                                rows["starts"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), length)
-        runs = [[{"a": int(a), "b": int(b)} for a, b in zip(*runs_of(f))] for f in flags]
-        out = pd.DataFrame({"gram": rows["gram"], "context": rows["context"], "runs": runs})
-        return out[[len(r) > 0 for r in runs]]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        size = 0
-        for rows in batches:
-            held.append(rows)
-            size += int(rows["said"].map(len).sum())
-            if size < batch_bytes:
-                continue
-            joined = pd.concat(held, ignore_index=True)
-            gram = joined["gram"].to_numpy()
-            last = int(np.flatnonzero(gram != gram[-1])[-1]) + 1 if gram[0] != gram[-1] else 0
-            if last:
-                yield judge(joined.iloc[:last].reset_index(drop=True))
-            held = [joined.iloc[last:]]
-            size = int(held[0]["said"].map(len).sum())
-        if held:
-            joined = pd.concat(held, ignore_index=True)
-            if len(joined):
-                yield judge(joined)
-
-    return run, "gram long, context long, runs array<struct<a:int,b:int>>"
+def signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
 
 
 def split_windows(length: int, window: int):
@@ -286,65 +262,112 @@ def split_windows(length: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for gram, context, starts, place, copies, _, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for gram, context, starts, place, copies, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for q in range((place - starts + 1) // window, place // window + 1):
                     near, far = q * window, q * window + window - 1  # distances from a start to the gram
                     low, high = max(0, place - far), min(starts - 1, place - near)
-                    core = xxh3_128_digest(text[place - near:place - far + length] + bytes([q % 256]))
-                    whole = xxh3_64_intdigest(text[low:high + length], place - low)
-                    out.append((gram, context, low, high - low + 1, copies, *np.frombuffer(core, np.int64).tolist(),
-                                whole - (1 << 64) if whole >> 63 else whole))
-            columns = list(zip(*out)) or [()] * 8
+                    out.append((gram, context, low, high - low + 1, copies,
+                                signed(xxh3_64_intdigest(text[place - near:place - far + length], q)),
+                                signed(xxh3_64_intdigest(text[low:high + length], place - low))))
+            columns = list(zip(*out)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if i in (2, 3) else pa.int64()) for i, c in enumerate(columns)],
-                names=["gram", "context", "start", "n", "copies", "c1", "c2", "whole"])
+                names=["gram", "context", "start", "n", "copies", "core", "whole"])
 
-    return run, ("gram long, context long, start int, n int, copies long, c1 long, c2 long, whole long")
+    return run, "gram long, context long, start int, n int, copies long, core long, whole long"
 
 
-def split_strings(length: int):
-    """(gram, context, said, wanted) to one row per string of the wanted pieces: (gram, context, start, copies, k1, k2)."""
+def cut_pieces(length: int):
+    """(gram, context, place, said, wanted) to the wanted pieces with their texts and the batch they are dealt to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = {"core": pa.int64(), "part": pa.int64(), "gram": pa.int64(), "context": pa.int64(), "start": pa.int32(),
+                 "n": pa.int32(), "copies": pa.int64(), "place": pa.int32(), "said": pa.binary()}
         for batch in batches:
-            for gram, context, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                at = [(s, w["copies"]) for w in wanted for s in range(w["start"], w["start"] + w["n"])]
-                keys = np.frombuffer(b"".join(xxh3_128_digest(text[s:s + length]) for s, _ in at),
-                                     np.int64).reshape(-1, 2)
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([gram] * n, pa.int64()), pa.array([context] * n, pa.int64()),
-                    pa.array([s for s, _ in at], pa.int32()), pa.array([c for _, c in at], pa.int64()),
-                    pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=["gram", "context", "start", "copies", "k1", "k2"])
+            out = [(w["core"], w["part"], gram, context, w["start"], w["n"], w["copies"], place - w["start"],
+                    text[w["start"]:w["start"] + w["n"] - 1 + length])
+                   for gram, context, place, text, wanted in zip(*(c.to_pylist() for c in batch.columns))
+                   for w in wanted]
+            columns = list(zip(*out)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values())],
+                                             names=list(kinds))
 
-    return run, "gram long, context long, start int, copies long, k1 long, k2 long"
+    return run, ("core long, part long, gram long, context long, start int, n int, copies long, place int, said binary")
 
 
-def crowded(hot: DataFrame, length: int, window: int) -> DataFrame:
-    """(gram, context, runs) for contexts of crowded grams: equal pieces first, strings only where pieces differ.
+def sort_pieces(length: int, batch_bytes: int = 1 << 20):
+    """Rows of cut_pieces to one row per start: (gram, context, start, copies, k1, k2), k1 and k2 naming its string.
 
-    A piece that occurs twice repeats in all its strings. Only pieces whose core is shared by different ones are
-    looked at string by string, each different piece once.
+    The copies of all starts with the same string in a batch stand at one of them, so they are counted before they
+    are shuffled; a batch may be cut anywhere, since names agree across batches.
     """
+
+    def judge(rows: pd.DataFrame) -> pd.DataFrame:
+        said, starts = rows["said"].tolist(), rows["n"].to_numpy(np.int64)
+        name = string_names(said, rows["place"].to_numpy(np.int64), starts, length)
+        owner = np.repeat(np.arange(len(said)), starts)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(starts) - starts, starts)
+        _, first, which = np.unique(name, return_index=True, return_inverse=True)
+        total = np.zeros(len(first), np.int64)
+        np.add.at(total, which, rows["copies"].to_numpy(np.int64)[owner])
+        copies = np.zeros(len(owner), np.int64)
+        copies[first] = total
+        keys = np.frombuffer(b"".join(xxh3_128_digest(said[o][i:i + length]) for o, i in zip(
+            owner[first].tolist(), inside[first].tolist())), np.int64).reshape(-1, 2)
+        return pd.DataFrame({
+            "gram": rows["gram"].to_numpy()[owner], "context": rows["context"].to_numpy()[owner],
+            "start": (rows["start"].to_numpy(np.int64)[owner] + inside).astype(np.int32), "copies": copies,
+            "k1": keys[which, 0], "k2": keys[which, 1]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        size = 0
+        for rows in batches:
+            if not len(rows):
+                continue
+            held.append(rows)
+            size += int(rows["said"].map(len).sum())
+            if size >= batch_bytes:
+                yield judge(pd.concat(held, ignore_index=True))
+                held, size = [], 0
+        if held:
+            yield judge(pd.concat(held, ignore_index=True))
+
+    return run, "gram long, context long, start int, copies long, k1 long, k2 long"
+
+
+def repeated_runs(said: DataFrame, length: int, window: int, together: int, folder: str) -> DataFrame:
+    """(gram, context, runs) for contexts of the texts in `said`: the runs of starts whose strings repeat."""
+    spark = said.sparkSession
     cut, kinds = split_windows(length, window)
-    pieces = hot.mapInArrow(cut, kinds)
-    core = ["c1", "c2"]
-    equal = pieces.groupBy(*core, "whole").agg(F.sum("copies").alias("copies"),
-                                               F.min(F.struct("gram", "context", "start")).alias("first"))
-    several = equal.groupBy(*core).agg(F.count("*").alias("several"))
-    known = equal.join(several, core).filter("copies > 1 or several > 1")
-    seen = pieces.drop("copies").join(known, [*core, "whole"])
-    runs = seen.filter("copies > 1").select("gram", "context", F.col("start").alias("a"),
-                                            (F.col("start") + F.col("n") - 1).alias("b"))
-    first = F.struct("gram", "context", "start") == F.col("first")
-    wanted = seen.filter(F.col("several") > 1).filter(first).groupBy("gram", "context").agg(
-        F.collect_list(F.struct("start", "n", "copies")).alias("wanted"))
-    split, kinds = split_strings(length)
-    strings = hot.select("gram", "context", "said").join(wanted, ["gram", "context"]).mapInArrow(split, kinds)
+    pieces = settle(said.mapInArrow(cut, kinds), folder, "pieces")
+    cores = pieces.groupBy("core").agg(
+        F.sum("copies").alias("all"), (F.min("whole") != F.max("whole")).alias("mixed")).filter("all > 1")
+    shared = settle(pieces.join(cores.select("core", "mixed"), "core"), folder, "shared")
+    drop(spark, folder, "pieces")
+    run = [F.col("start").alias("a"), (F.col("start") + F.col("n") - 1).alias("b")]
+    equal = shared.filter("not mixed").select("gram", "context", *run)
+
+    mixed = shared.filter("mixed")
+    wholes = settle(mixed.groupBy("core", "whole").agg(
+        F.sum("copies").alias("copies"), F.min(F.struct("gram", "context", "start", "n")).alias("at")), folder, "wholes")
+    known = wholes.filter("copies > 1").select("core", "whole")
+    equal = equal.unionAll(mixed.join(known, ["core", "whole"]).select("gram", "context", *run))
+
+    # Each different piece once, where its core has several.
+    many = wholes.groupBy("core").agg(F.count("*").alias("several"))
+    part = F.expr(f"pmod(whole, ceil(several / {together}))").alias("part")
+    wanted = wholes.join(many, "core").select("core", part, "copies", "at.*").groupBy("gram", "context").agg(
+        F.collect_list(F.struct("core", "part", "start", "n", "copies")).alias("wanted"))
+    cut, kinds = cut_pieces(length)
+    texts = said.select("gram", "context", "place", "said").join(wanted, ["gram", "context"]).mapInArrow(cut, kinds)
+    sort, kinds = sort_pieces(length)
+    strings = settle(texts.repartition(width(spark), "core", "part").sortWithinPartitions("core", "part")
+                     .mapInPandas(sort, kinds), folder, "strings")
     twice = strings.groupBy("k1", "k2").agg(F.sum("copies").alias("all")).filter("all > 1").select("k1", "k2")
     single = strings.join(twice, ["k1", "k2"]).select("gram", "context", F.col("start").alias("a"),
                                                       F.col("start").alias("b"))
-    return runs.unionAll(single).groupBy("gram", "context").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    return equal.unionAll(single).groupBy("gram", "context").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
 
 
 # ---- removal -------------------------------------------------------------------------------------------------------
@@ -378,7 +401,7 @@ def remove_spans(length: int, with_text: bool):
     return run, kinds + ", kept binary" * with_text
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, most_contexts: int = 512, window: int = 8,
+def remove_repeats(docs: DataFrame, length: int = 200, window: int = 16, together: int = 512,
                    with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and the bytes kept if asked for.
 
@@ -389,34 +412,32 @@ def remove_repeats(docs: DataFrame, length: int = 200, most_contexts: int = 512,
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").alias("doc"), F.xxhash64(text).alias("mark"), F.encode(text, "UTF-8").alias("text"))
     find, kinds = find_contexts(length)
-    found = rows.mapInArrow(find, kinds)
-    distinct = found.groupBy("gram", "context").agg(
+    found = settle(rows.mapInArrow(find, kinds), folder, "found")
+    grams = found.groupBy("gram").agg(
+        F.count("*").alias("all"), (F.min("context") != F.max("context")).alias("several")).filter("all > 1")
+    hits = settle(found.join(grams.select("gram", "several"), "gram"), folder, "hits")
+    drop(spark, folder, "found")
+
+    # The texts of contexts that share their gram with others, each once.
+    contexts = hits.filter("several").groupBy("gram", "context").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc", "mark", "first", "starts", "place")).alias("at"))
-    distinct = settle(distinct.withColumn("many", F.expr("count(*) over (partition by gram)"))
-                      .filter("many > 1 or copies > 1")
-                      .select("gram", "context", "copies", "many", "at.*"), folder, "contexts")
-
-    # The texts of contexts that share their gram with others.
-    wanted = distinct.filter("many > 1").groupBy("doc", "mark").agg(F.collect_list(F.struct(
-        "gram", "context", "first", "starts", "place", "copies", "many")).alias("wanted"))
+    wanted = contexts.select("gram", "context", "copies", "at.*").groupBy("doc", "mark").agg(F.collect_list(F.struct(
+        "gram", "context", "first", "starts", "place", "copies")).alias("wanted"))
     same = F.col("r.doc").eqNullSafe(F.col("w.doc")) & (F.col("r.mark") == F.col("w.mark"))
-    # Rows equal in doc_id and text give their contexts once.
     cut, kinds = cut_texts(length)
     said = rows.alias("r").join(wanted.alias("w"), same).select("r.text", "w.wanted").mapInArrow(cut, kinds)
+    # Rows equal in doc_id and text give their contexts once.
     said = settle(said.dropDuplicates(["gram", "context"]), folder, "texts")
-    sort, kinds = sort_contexts(length)
-    small = (said.filter(F.col("many") <= most_contexts).repartition(width(spark), "gram").sortWithinPartitions("gram")
-             .mapInPandas(sort, kinds))
-    places = crowded(said.filter(F.col("many") > most_contexts), length, window)
-    alone = distinct.filter("many = 1").select("gram", "context", F.array(F.struct(
-        F.lit(0).alias("a"), (F.col("starts") - 1).alias("b"))).alias("runs"))
-    verdicts = settle(small.unionAll(places).unionAll(alone), folder, "verdicts")
+    verdicts = repeated_runs(said, length, window, together, folder)
 
     # Back to all places of each context, and to the documents.
-    spans = found.select("doc", "mark", "gram", "context", "first").join(verdicts, ["gram", "context"])
-    starts = settle(spans.groupBy("doc", "mark").agg(F.flatten(F.collect_list(F.transform("runs", lambda r: F.struct(
-        (F.col("first") + r["a"]).alias("a"), (F.col("first") + r["b"]).alias("b"))))).alias("starts")),
-        folder, "starts")
+    place = F.col("first")
+    spans = hits.filter("several").join(verdicts, ["gram", "context"]).select("doc", "mark", F.transform(
+        "runs", lambda r: F.struct((place + r["a"]).alias("a"), (place + r["b"]).alias("b"))).alias("runs"))
+    alone = hits.filter("not several").select("doc", "mark", F.array(F.struct(
+        place.alias("a"), (place + F.col("starts") - 1).alias("b"))).alias("runs"))
+    starts = settle(spans.unionAll(alone).groupBy("doc", "mark").agg(
+        F.flatten(F.collect_list("runs")).alias("starts")), folder, "starts")
     same = F.col("r.doc").eqNullSafe(F.col("s.doc")) & (F.col("r.mark") == F.col("s.mark"))
     remove, kinds = remove_spans(length, with_text)
     return rows.alias("r").join(starts.alias("s"), same, "left").select("r.doc", "r.text", "s.starts").mapInArrow(

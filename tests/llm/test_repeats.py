@@ -42,10 +42,27 @@ def planted(seed, n):
     return out + [(n, out[3][1]), (n + 1, None), (n + 2, ""), (n + 3, "ab" * 400), (n + 4, "x" * 61), (n + 5, "y" * 60)]
 
 
-@pytest.mark.parametrize("most", [512, 1])  # with 1 every shared gram is split by pieces and strings
-def test_against_all_strings(texts, most):
+@pytest.mark.parametrize("window, together", [(16, 512), (8, 1), (1, 2)])  # with 1 every batch has its own pieces
+def test_against_all_strings(texts, window, together):
     rows = planted(3, 60)
-    checked(texts(rows), rows, 60, most_contexts=most)
+    checked(texts(rows), rows, 60, window=window, together=together)
+
+
+def test_strings_that_differ_at_their_ends_only(texts):
+    passage = "".join(chr(97 + (i * i * 7 + i // 3) % 26) for i in range(75))
+    rows = [(i, f"{i:03d}" * 9 + passage + f"{i * 7:04d}" * 9) for i in range(300)]
+    checked(texts(rows), rows, 60, together=16)
+
+
+def test_names_are_those_of_equal_strings():
+    said = [b"abcabcabcabcabcab", b"xabcabcabcabcabc", b"abcabcabcabx"]
+    names = suffixes.string_names(said, np.array([3, 4, 3]), np.array([8, 7, 3]), 10)
+    strings = [t[i:i + 10] for t, n in zip(said, (8, 7, 3)) for i in range(n)]
+    place = [(i - p) % 3 for p, n in zip((3, 4, 3), (8, 7, 3)) for i in range(n)]
+    for a in range(len(names)):
+        for b in range(len(names)):
+            if place[a] == place[b]:  # the caller's strings that are equal lie alike to their gram
+                assert (names[a] == names[b]) == (strings[a] == strings[b])
 
 
 def test_given_documents(texts, documents):
