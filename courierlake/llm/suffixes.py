@@ -296,13 +296,13 @@ def cut_pieces(length: int):
 
 
 def sort_pieces(length: int, batch_bytes: int = 1 << 20):
-    """Rows of cut_pieces to one row per start: (gram, context, start, copies, k1, k2), k1 and k2 naming its string.
+    """Rows of cut_pieces to one row per start: (gram, context, start, copies, k1, k2).
 
-    The copies of all starts with the same string in a batch stand at one of them, so they are counted before they
-    are shuffled; a batch may be cut anywhere, since names agree across batches.
+    Of the starts with the same string in a batch one has the name of the string in k1 and k2 and the copies of all; the
+    others are known to repeat and have nulls there. A batch may be cut anywhere, since names agree across batches.
     """
 
-    def judge(rows: pd.DataFrame) -> pd.DataFrame:
+    def judge(rows: pd.DataFrame) -> pa.RecordBatch:
         said, starts = rows["said"].tolist(), rows["n"].to_numpy(np.int64)
         name = string_names(said, rows["place"].to_numpy(np.int64), starts, length)
         owner = np.repeat(np.arange(len(said)), starts)
@@ -314,15 +314,18 @@ def sort_pieces(length: int, batch_bytes: int = 1 << 20):
         copies[first] = total
         keys = np.frombuffer(b"".join(xxh3_128_digest(said[o][i:i + length]) for o, i in zip(
             owner[first].tolist(), inside[first].tolist())), np.int64).reshape(-1, 2)
-        return pd.DataFrame({
-            "gram": rows["gram"].to_numpy()[owner], "context": rows["context"].to_numpy()[owner],
-            "start": (rows["start"].to_numpy(np.int64)[owner] + inside).astype(np.int32), "copies": copies,
-            "k1": keys[which, 0], "k2": keys[which, 1]})
+        told = copies == 0
+        return pa.RecordBatch.from_arrays([
+            pa.array(rows["gram"].to_numpy()[owner]), pa.array(rows["context"].to_numpy()[owner]),
+            pa.array((rows["start"].to_numpy(np.int64)[owner] + inside).astype(np.int32)), pa.array(copies),
+            pa.array(keys[which, 0], mask=told), pa.array(keys[which, 1], mask=told)],
+            names=["gram", "context", "start", "copies", "k1", "k2"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pd.DataFrame] = []
         size = 0
-        for rows in batches:
+        for batch in batches:
+            rows = batch.to_pandas()
             if not len(rows):
                 continue
             held.append(rows)
@@ -363,11 +366,17 @@ def repeated_runs(said: DataFrame, length: int, window: int, together: int, fold
     texts = said.select("gram", "context", "place", "said").join(wanted, ["gram", "context"]).mapInArrow(cut, kinds)
     sort, kinds = sort_pieces(length)
     strings = settle(texts.repartition(width(spark), "core", "part").sortWithinPartitions("core", "part")
-                     .mapInPandas(sort, kinds), folder, "strings")
-    twice = strings.groupBy("k1", "k2").agg(F.sum("copies").alias("all")).filter("all > 1").select("k1", "k2")
-    single = strings.join(twice, ["k1", "k2"]).select("gram", "context", F.col("start").alias("a"),
-                                                      F.col("start").alias("b"))
-    return equal.unionAll(single).groupBy("gram", "context").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+                     .mapInArrow(sort, kinds), folder, "strings")
+    one = [F.col("start").alias("a"), F.col("start").alias("b")]
+    told, named = strings.filter("k1 is null"), strings.filter("k1 is not null")
+    twice = named.groupBy("k1", "k2").agg(F.sum("copies").alias("all")).filter("all > 1").select("k1", "k2")
+    single = told.select("gram", "context", *one).unionAll(
+        named.select("gram", "context", "start", "k1", "k2").join(twice, ["k1", "k2"]).select("gram", "context", *one))
+    verdicts = settle(equal.unionAll(single).groupBy("gram", "context").agg(
+        F.collect_list(F.struct("a", "b")).alias("runs")), folder, "verdicts")
+    for name in ("shared", "wholes", "strings"):
+        drop(spark, folder, name)
+    return verdicts
 
 
 # ---- removal -------------------------------------------------------------------------------------------------------
@@ -412,23 +421,26 @@ def remove_repeats(docs: DataFrame, length: int = 200, window: int = 16, togethe
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").alias("doc"), F.xxhash64(text).alias("mark"), F.encode(text, "UTF-8").alias("text"))
     find, kinds = find_contexts(length)
-    found = settle(rows.mapInArrow(find, kinds), folder, "found")
+    # Hashing every text twice is cheaper than a table of all contexts, which is as large as half the input.
+    found = rows.mapInArrow(find, kinds)
     grams = found.groupBy("gram").agg(
         F.count("*").alias("all"), (F.min("context") != F.max("context")).alias("several")).filter("all > 1")
     hits = settle(found.join(grams.select("gram", "several"), "gram"), folder, "hits")
-    drop(spark, folder, "found")
 
     # The texts of contexts that share their gram with others, each once.
     contexts = hits.filter("several").groupBy("gram", "context").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc", "mark", "first", "starts", "place")).alias("at"))
-    wanted = contexts.select("gram", "context", "copies", "at.*").groupBy("doc", "mark").agg(F.collect_list(F.struct(
-        "gram", "context", "first", "starts", "place", "copies")).alias("wanted"))
-    same = F.col("r.doc").eqNullSafe(F.col("w.doc")) & (F.col("r.mark") == F.col("w.mark"))
-    cut, kinds = cut_texts(length)
-    said = rows.alias("r").join(wanted.alias("w"), same).select("r.text", "w.wanted").mapInArrow(cut, kinds)
+    known = ["id", "nameless", "mark"]
+    ids = [F.coalesce("doc", F.lit(0)).alias("id"), F.col("doc").isNull().alias("nameless"), "mark"]
+    wanted = contexts.select("gram", "context", "copies", "at.*").select("*", *ids[:2]).groupBy(*known).agg(
+        F.collect_list(F.struct("gram", "context", "first", "starts", "place", "copies")).alias("wanted"))
     # Rows equal in doc_id and text give their contexts once.
-    said = settle(said.dropDuplicates(["gram", "context"]), folder, "texts")
+    holders = rows.select(*ids, "text").join(wanted, known).groupBy(*known).agg(
+        F.first("text").alias("text"), F.first("wanted").alias("wanted"))
+    cut, kinds = cut_texts(length)
+    said = settle(holders.select("text", "wanted").mapInArrow(cut, kinds), folder, "texts")
     verdicts = repeated_runs(said, length, window, together, folder)
+    drop(spark, folder, "texts")
 
     # Back to all places of each context, and to the documents.
     place = F.col("first")
