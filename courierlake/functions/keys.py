@@ -36,3 +36,28 @@ def numbered(df: DataFrame, key: str, into: str, after: Column | None = None,
     if only is None:
         return df.withColumn(into, number)
     return df.withColumn(into, F.when(fresh, number).otherwise(F.col(into)))
+
+
+def registered(registry: DataFrame | None, source: DataFrame, key: str, into: str,
+               digits: int = BUCKET_DIGITS) -> DataFrame:
+    """The registry (key, `into`) with the keys of `source` that it lacks numbered on from its last number.
+
+    Numbers are dense from 1 and never move: a key keeps its number while it is away and when it comes back, and the
+    order of rows in `source` doesn't matter. Unseen keys are numbered by digest bucket and then by key: buckets count
+    apart, and the running total of at most 16^digits bucket sizes gives each its offset, so no task holds all keys.
+    Null keys get none. Write the result before it is used for more than one thing.
+    """
+    unseen = source.select(key).filter(F.col(key).isNotNull()).distinct()
+    if registry is None:
+        last = F.lit(0).cast("bigint")
+    else:
+        unseen = unseen.join(registry.select(key), key, "left_anti")
+        last = F.coalesce(registry.agg(F.max(into)).scalar(), F.lit(0)).cast("bigint")
+    dealt = unseen.withColumn("_bucket", bucket_of(F.col(key), digits))
+    sizes = dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # over bucket sizes, not over keys
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+    fresh = dealt.withColumn("_place", place).join(offsets, "_bucket").withColumn("_last", last).select(
+        key, (F.col("_last") + F.col("_offset") + F.col("_place")).cast("bigint").alias(into))
+    return fresh if registry is None else registry.select(key, into).unionByName(fresh)

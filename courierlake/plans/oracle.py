@@ -428,6 +428,10 @@ ORACLE: dict[str, str] = {
             WITH one AS (SELECT 1) {SCD2_RESTAURANTS}) h
           ON o.restaurant_id = h.restaurant_id AND CAST(o.order_time AS DATE) >= h.record_start_date
              AND CAST(o.order_time AS DATE) < h.record_end_date""", "silver_orders", "silver_restaurants"),
+    "restaurant_registry": sql("""
+        SELECT restaurant_id, row_number() OVER (
+            ORDER BY NOT is_active, substr(md5(CAST(restaurant_id AS VARCHAR)), 1, 3), restaurant_id) AS restaurant_key
+        FROM silver_restaurants""", "silver_restaurants"),
     "scd2_rebuilt": sql(f"""
         , loads AS (
             SELECT {LOADED_COLUMNS}, {FIRST_LOAD} AS since FROM silver_restaurants WHERE is_active

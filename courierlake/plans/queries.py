@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from courierlake.functions import exact as X
 from courierlake.functions import scalars as S
-from courierlake.functions.keys import numbered
+from courierlake.functions.keys import numbered, registered
 from courierlake.operators import clean, daily, dims, facts, late, merge, reconcile, reports, rollups, rules
 from courierlake.schemas import WIRE_ORDER_ITEMS, WIRE_ORDERS
 from courierlake.sources import wire
@@ -187,6 +187,16 @@ def scd2_rebuilt(g: Given) -> DataFrame:
     return dims.history_of(_loads(first, g.later_restaurants(), g.silver_restaurants()), dims.RESTAURANTS)
 
 
+@query
+def restaurant_registry(g: Given) -> DataFrame:
+    """Keys over three loads: the active restaurants, all of them, then those with an address only."""
+    registry = None
+    for load in (g.silver_restaurants().filter("is_active"), g.silver_restaurants(),
+                 g.later_restaurants().filter("address is not null")):
+        registry = registered(registry, load, "restaurant_id", "restaurant_key")
+    return registry
+
+
 # --- facts ----------------------------------------------------------------------
 
 @query
