@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from courierlake.operators.late import ON_TIME_MINUTES
 from courierlake.schemas import BRONZE
 from courierlake.session import checkpoint_root, tune
 from courierlake.sources.lake import Lake
@@ -44,14 +45,18 @@ def start_ingest(lake: Lake, table: str, messages: DataFrame, checkpoint: str |
                  then: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Stream messages of `table` ('orders' or 'order_items') into bronze.
 
-    Unreadable messages go to a quarantine table. Counts are observed on the
-    stream itself, so no batch is counted separately. `then` gets the readable
+    Unreadable messages go to a quarantine table. Counts and the longest lag are
+    observed on the stream itself, so no batch is counted separately. `then` gets the readable
     rows of each batch, for steps further down (see `streaming.refine`).
     """
     tune(lake.spark)
     lake.ensure("bronze", f"bronze_{table}", BRONZE[table])
-    decoded = DECODERS[table](messages).observe(
-        METRICS, F.count(F.lit(1)).alias("records"), F.count_if(~F.col("decoded")).alias("unreadable"))
+    decoded = DECODERS[table](messages)
+    counts = [F.count(F.lit(1)).alias("records"), F.count_if(~F.col("decoded")).alias("unreadable")]
+    if {"arrival_time", "order_time"} <= set(decoded.columns):
+        lag = F.unix_seconds("arrival_time") - F.unix_seconds("order_time")
+        counts += [F.max(lag).alias("max_lag_seconds"), F.count_if(lag > ON_TIME_MINUTES * 60).alias("late")]
+    decoded = decoded.observe(METRICS, *counts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
