@@ -538,6 +538,15 @@ ORACLE: dict[str, str] = {
              FULL JOIN (SELECT event_id // 3 * 2 AS order_id, event_type, ts FROM events
                         QUALIFY row_number() OVER (PARTITION BY event_id // 3 ORDER BY ts DESC, event_id DESC) = 1) e
                ON o.order_id = e.order_id""", "bronze_orders"),
+    "merged_months": sql("""
+        SELECT coalesce(o.order_id, e.order_id) AS order_id, o.customer_id,
+               CASE WHEN e.order_id IS NULL THEN o.status ELSE e.event_type END AS status,
+               CASE WHEN e.order_id IS NULL THEN o.delivery_time ELSE e.ts END AS delivery_time,
+               CAST(date_trunc('month', CASE WHEN o.order_id IS NULL THEN e.ts ELSE o.order_time END) AS DATE) AS order_month
+        FROM bronze_orders o
+             FULL JOIN (SELECT event_id // 3 * 2 AS order_id, event_type, ts FROM events
+                        QUALIFY row_number() OVER (PARTITION BY event_id // 3 ORDER BY ts DESC, event_id DESC) = 1) e
+               ON o.order_id = e.order_id""", "bronze_orders"),
     "lateness": f"SELECT * FROM {EVENTS_ARRIVED}",
     "lateness_summary": f"""
         SELECT lateness, count(*) AS records, max(lateness_minutes) AS max_lateness_minutes,
@@ -667,6 +676,15 @@ ORACLE: dict[str, str] = {
     "metric_rows": sql(f"""
         SELECT 'Orders' AS metric, CAST(count(*) AS DOUBLE) AS value FROM silver_orders
         UNION ALL SELECT 'Revenue', {money('total_amount')} FROM silver_orders""", "silver_orders"),
+    "order_totals": sql(f"""
+        SELECT level, status, order_date, metric, value FROM (
+            SELECT CASE WHEN GROUPING(status) = 0 AND GROUPING(order_date) = 0 THEN 'status and day'
+                        WHEN GROUPING(status) = 0 THEN 'status' WHEN GROUPING(order_date) = 0 THEN 'day' ELSE 'all' END AS level,
+                   status, order_date, CAST(count(*) AS DOUBLE) AS orders, {money('total_amount')} AS revenue,
+                   {money('tip_amount')} AS tips, CAST(count(*) FILTER (WHERE cancelled) AS DOUBLE) AS cancelled
+            FROM (SELECT *, CAST(order_time AS DATE) AS order_date FROM fact_orders)
+            GROUP BY GROUPING SETS ((status, order_date), (status), (order_date), ()))
+        UNPIVOT INCLUDE NULLS (value FOR metric IN (orders, revenue, tips, cancelled))""", "fact_orders"),
     "top_restaurants": sql(f"""
         SELECT restaurant_name, cuisine_type, count(order_id) AS total_orders,
                {money('total_amount')} AS total_revenue, {mean_money('total_amount')} AS avg_order_value

@@ -1,5 +1,6 @@
 """Every operator as a query over the whole given tables: name -> (spark, folder) -> DataFrame."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from courierlake.functions import scalars as S
 from courierlake.functions.keys import numbered, registered
 from courierlake.operators import clean, daily, dims, facts, late, merge, reconcile, reports, rollups, rules
 from courierlake.schemas import WIRE_ORDER_ITEMS, WIRE_ORDERS
+from courierlake.session import checkpoint_root
 from courierlake.sources import wire
 from courierlake.sources.given import AS_OF, FIRST_LOAD, Given
 from courierlake.streaming import refine
@@ -265,15 +267,31 @@ def dedup_latest(g: Given) -> DataFrame:
     return merge.dedup_latest(g.table("events"), ["user_id"], ["ts", "event_id"])
 
 
-@query
-def upsert_status(g: Given) -> DataFrame:
-    target = g.bronze_orders(drivers=False).select("order_id", "customer_id", "status", "delivery_time")
-    # Three events each report on one order; the latest counts.
+def _reported(g: Given) -> DataFrame:
+    """Three events each report on one order; the latest counts."""
     reports_ = g.table("events").select(
         (F.floor(F.col("event_id") / 3) * 2).alias("order_id"), F.col("event_type").alias("status"),
         F.col("ts").alias("delivery_time"), "event_id")
-    latest = merge.dedup_latest(reports_, ["order_id"], ["delivery_time", "event_id"]).drop("event_id")
-    return merge.upsert(target, latest, ["order_id"], ["status", "delivery_time"], insert=True)
+    return merge.dedup_latest(reports_, ["order_id"], ["delivery_time", "event_id"]).drop("event_id")
+
+
+@query
+def upsert_status(g: Given) -> DataFrame:
+    target = g.bronze_orders(drivers=False).select("order_id", "customer_id", "status", "delivery_time")
+    return merge.upsert(target, _reported(g), ["order_id"], ["status", "delivery_time"], insert=True)
+
+
+@query
+def merged_months(g: Given) -> DataFrame:
+    """The same reports merged into a catalog table that is split by month; the table stays in the warehouse."""
+    spark, table = g.spark, f"merged_months_{uuid.uuid4().hex}"
+    month = F.trunc("order_time", "month").alias("order_month")
+    orders = g.bronze_orders(drivers=False).select("order_id", "customer_id", "status", "delivery_time", month)
+    orders.hint("rebalance", F.col("order_month")).write.partitionBy("order_month").saveAsTable(table)
+    latest = _reported(g).withColumn("order_month", F.trunc("delivery_time", "month"))
+    merge.merge_into(spark, table, latest, ["order_id"], ["status", "delivery_time"],
+                     checkpoint_root(spark, spark.conf.get("spark.sql.warehouse.dir")), insert=True)
+    return spark.table(table)
 
 
 def _arrived(g: Given) -> DataFrame:
@@ -506,6 +524,11 @@ def metric_rows(g: Given) -> DataFrame:
     return reports.metric_rows(_plain_facts(g))
 
 
+@query
+def order_totals(g: Given) -> DataFrame:
+    return reports.order_totals(_plain_facts(g))
+
+
 @query
 def top_restaurants(g: Given) -> DataFrame:
     return reports.top_restaurants(_restaurant_facts(g), g.dim_restaurants())

@@ -129,3 +129,27 @@ def test_duplicate_current_row_is_caught(star):
     twice = star["drivers"].union(star["drivers"])
     with pytest.raises(ValueError, match="not unique"):
         assert_unique(dims.current(twice), "driver_id")
+
+
+def test_reports_of_many_totals_read_their_input_once(spark, small):
+    from courierlake.sources.given import Given
+
+    g = Given(spark, small)
+    orders = spark.read.parquet(f"{small}/orders.parquet").selectExpr(
+        "o_orderkey AS order_id", "o_orderstatus AS status", "o_custkey AS restaurant_id")
+    stats = reports.bronze_stats(orders, g.silver_ratings(restaurants=False))
+    assert stats.count() > 0
+    rows = stats.collect()
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) > 5 and "ReusedExchange" in plan
+    totals = reports.order_totals(g.fact_orders(drivers=False, restaurants=False, dates=False))
+    assert totals._jdf.queryExecution().executedPlan().toString().count("orders.parquet") == 1
+
+
+def test_busiest_restaurants_leave_out_rows_without_one(spark):
+    orders = spark.createDataFrame(
+        [(1, "a", None)] * 9 + [(1, "a", 1)] * 3 + [(1, "b", 2)] * 2 + [(1, None, 3)] * 2, "order_id int, status string, restaurant_id int")
+    marks = spark.createDataFrame([], "driver_rating double, food_rating double, delivery_rating double")
+    got = {(r.statistic, r.item): r.value for r in reports.bronze_stats(orders, marks, k=2).collect()}
+    assert {i: v for (s, i), v in got.items() if s == "busiest restaurants"} == {"1": 3, "2": 2}
+    assert {i: v for (s, i), v in got.items() if s == "orders by status"} == {"a": 12, "b": 2, None: 2}

@@ -1,6 +1,6 @@
 """Upserts, deduplication, lateness, skewed inputs."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +48,50 @@ def test_upsert_reads_the_target_once(spark, small):
     assert plan.executedPlan().toString().count("orders.parquet") == 1
 
 
+def files_of(spark, table):
+    return {r[0] for r in spark.table(table).select("_metadata.file_path").distinct().collect()}
+
+
+def month(number):
+    return None if number is None else date(2024, number, 1)
+
+
+@pytest.mark.parametrize("insert", [False, True])
+def test_merge_into_rewrites_only_touched_partitions(spark, tmp_path, insert):
+    name = f"merge_{insert}".lower()
+    rows = [(n, "ready", month(n % 6 + 1 if n % 7 else None)) for n in range(60)]
+    spark.createDataFrame(rows, "id long, status string, month date").repartition(3).write.partitionBy("month").mode(
+        "overwrite").saveAsTable(name)
+    before = files_of(spark, name)
+    # Matches in months 2 and none, one of them under another month than the table's; a new row goes to month 5.
+    source = spark.createDataFrame([(1, "done", month(2)), (7, None, month(3)), (100, "new", month(5))],
+                                   "id long, status string, month date")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    touched = merge.merge_into(spark, name, source, ["id"], ["status"], str(tmp_path), insert=insert)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    assert {r.month for r in touched.collect()} == {month(m) for m in ((2, None, 3, 5) if insert else (2, None))}
+    changed = {1: "done", 7: None}
+    want = {(n, changed.get(n, s), m) for n, s, m in rows} | ({(100, "new", month(5))} if insert else set())
+    assert {tuple(r) for r in spark.table(name).collect()} == want
+    kept = {f for f in before if any(f"month={month(m)}" in f for m in ((1, 4, 6) if insert else (1, 3, 4, 5, 6)))}
+    assert kept and before & files_of(spark, name) == kept
+
+
+def test_merge_into_prunes_the_scan_and_refuses_moves(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "'x' AS status", "id % 10 AS part").write.partitionBy("part").mode(
+        "overwrite").saveAsTable("merge_plan")
+    source = spark.createDataFrame([(13, "y", 3)], "id long, status string, part long")
+    touched = merge.merge_into(spark, "merge_plan", source, ["id"], ["status"], str(tmp_path))
+    assert [tuple(r) for r in touched.collect()] == [(3, 1)]
+    plan = merge._held_rows(spark.table("merge_plan"), touched, "part")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    for keys, columns in ((["id"], ["part"]), (["part"], ["status"])):
+        with pytest.raises(ValueError, match="part"):
+            merge.merge_into(spark, "merge_plan", source, keys, columns, str(tmp_path))
+    none = merge.merge_into(spark, "merge_plan", source.limit(0), ["id"], ["status"], str(tmp_path), insert=True)
+    assert none.isEmpty() and spark.table("merge_plan").count() == 1000
+
+
 def test_dedup_takes_the_newest_and_limits_before_the_shuffle(spark):
     df = spark.createDataFrame([("a", 1, "old"), ("a", 3, "new"), ("a", 2, "mid"), ("b", 1, "only")],
                                "k string, t int, v string")
