@@ -8,7 +8,9 @@ from courierlake.plans import batch
 from courierlake.session import build_session
 from courierlake.sources.lake import Lake
 from courierlake.sources.synth import synth_lake
-from courierlake.streaming import ingest, refine
+from courierlake.streaming import ingest, joined, refine, state, watch
+
+PROGRESS = "stream_progress"
 
 
 def _synth(lake: Lake, args) -> None:
@@ -28,19 +30,35 @@ def _batch(lake: Lake, args) -> None:
     print(batch.run_batch(lake, args.as_of))
 
 
+def _messages(lake: Lake, args, place: str):
+    if args.servers:
+        return ingest.kafka_messages(lake.spark, args.servers, place)
+    return ingest.file_messages(lake.spark, place)
+
+
 def _ingest(lake: Lake, args) -> None:
-    queries = []
-    for table, place in (("orders", args.orders_from), ("order_items", args.items_from)):
-        if args.servers:
-            messages = ingest.kafka_messages(lake.spark, args.servers, place)
-        else:
-            messages = ingest.file_messages(lake.spark, place)
-        then = None
-        if table == "orders" and args.refresh:
-            def then(rows, batch_id):
-                refine.refresh_from_stream(lake, rows, batch_id)
-        queries.append(ingest.start_ingest(lake, table, messages, then=then))
-    print(ingest.run_bounded(queries, args.idle_seconds, args.max_seconds))
+    def refresh(rows, batch_id):
+        refine.refresh_from_stream(lake, rows, batch_id)
+
+    with watch.watched(lake.spark, f"{lake.root}/{PROGRESS}"):
+        queries = [ingest.start_ingest(lake, "orders", _messages(lake, args, args.orders_from),
+                                       then=refresh if args.refresh else None),
+                   ingest.start_ingest(lake, "order_items", _messages(lake, args, args.items_from))]
+        print(ingest.run_bounded(queries, args.idle_seconds, args.max_seconds))
+
+
+def _stream(lake: Lake, args) -> None:
+    """Facts straight from the topics: one row per order over all batches, and lines joined to their orders."""
+    with watch.watched(lake.spark, f"{lake.root}/{PROGRESS}"):
+        queries = [state.start_orders(lake, _messages(lake, args, args.orders_from), args.as_of),
+                   joined.start_lines(lake, _messages(lake, args, args.orders_from),
+                                      _messages(lake, args, args.items_from), args.as_of)]
+        print(ingest.run_bounded(queries, args.idle_seconds, args.max_seconds))
+
+
+def _health(lake: Lake, args) -> None:
+    stored = lake.spark.read.schema(watch.PROGRESS).parquet(f"{lake.root}/{PROGRESS}")
+    watch.stream_health(stored).orderBy("query", "batch_id").show(500, truncate=False)
 
 
 def _late(lake: Lake, args) -> None:
@@ -89,17 +107,19 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--seed", type=int, default=0)
     for name, run in (("silver", _silver), ("gold", _gold), ("batch", _batch)):
         job(name, run)
-    p = job("ingest", _ingest, dated=False)
-    p.add_argument("--servers", help="Kafka servers; without them the sources are folders of JSON lines")
-    p.add_argument("--orders-from", required=True, help="topic or folder")
-    p.add_argument("--items-from", required=True, help="topic or folder")
-    p.add_argument("--refresh", action="store_true", help="also refresh silver and gold per batch")
-    p.add_argument("--idle-seconds", type=float, default=ingest.IDLE_SECONDS)
-    p.add_argument("--max-seconds", type=float, default=ingest.MAX_SECONDS)
+    for name, run in (("ingest", _ingest), ("stream", _stream)):
+        p = job(name, run, dated=name == "stream")
+        p.add_argument("--servers", help="Kafka servers; without them the sources are folders of JSON lines")
+        p.add_argument("--orders-from", required=True, help="topic or folder")
+        p.add_argument("--items-from", required=True, help="topic or folder")
+        if name == "ingest":
+            p.add_argument("--refresh", action="store_true", help="also refresh silver and gold per batch")
+        p.add_argument("--idle-seconds", type=float, default=ingest.IDLE_SECONDS)
+        p.add_argument("--max-seconds", type=float, default=ingest.MAX_SECONDS)
     p = job("late", _late)
     p = job("confirm", _confirm)
     p.add_argument("--limit", type=int)
-    for name, run in (("verify", _verify), ("describe", _describe), ("report", _report)):
+    for name, run in (("verify", _verify), ("describe", _describe), ("report", _report), ("health", _health)):
         job(name, run, dated=False)
     return parser
 

@@ -1,6 +1,8 @@
 """How far streams lag: one row per batch of each query, from Spark's own progress reports."""
 
-from threading import Lock
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Condition
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,16 +24,25 @@ class StreamWatch(StreamingQueryListener):
     def __init__(self, observed: str = "ingest"):
         self.observed = observed
         self._rows: list[tuple] = []
-        self._lock = Lock()
+        self._running = 0
+        self._lock = Condition()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        with self._lock:
+            self._running += 1
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        with self._lock:
+            self._running -= 1
+            self._lock.notify_all()
+
+    def wait(self, seconds: float) -> bool:
+        """Until the end of every query was reported, and with it its batches."""
+        with self._lock:
+            return self._lock.wait_for(lambda: self._running <= 0, seconds)
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
@@ -52,6 +63,19 @@ class StreamWatch(StreamingQueryListener):
         return len(rows)
 
 
+@contextmanager
+def watched(spark: SparkSession, folder: str, wait_seconds: float = 30) -> Iterator[StreamWatch]:
+    """Queries that start and end inside have their batches stored in `folder`, also when one of them fails."""
+    watch = StreamWatch()
+    spark.streams.addListener(watch)
+    try:
+        yield watch
+    finally:
+        watch.wait(wait_seconds)
+        spark.streams.removeListener(watch)
+        watch.store(spark, folder)
+
+
 def stream_health(progress: DataFrame) -> DataFrame:
     """Per batch: the share of unreadable rows, and OK, Warning or Critical by its latest row.
 

@@ -26,6 +26,16 @@ def test_jobs(spark, tmp_path, capsys):
         main([job, "--root", root])
     shown = capsys.readouterr().out
     assert "bronze_order_items" in shown and "total_revenue" in shown
+    main(["stream", *dated, "--orders-from", str(tmp_path / "orders"), "--items-from", str(tmp_path / "items"),
+          "--idle-seconds", "15", "--max-seconds", "90"])
+    assert lake.safe_count("gold", "fact_orders_stream") == 10
+    assert lake.safe_count("gold", "fact_order_items_stream") > 0
+    progress = spark.read.parquet(f"{root}/stream_progress")
+    assert {r[0] for r in progress.select("query").distinct().collect()} == {
+        "bronze_orders", "bronze_order_items", "order_states", "order_lines"}
+    capsys.readouterr()
+    main(["health", "--root", root])
+    assert "Critical" in capsys.readouterr().out
     main(["late", *dated])
     main(["confirm", *dated])
     assert "days rebuilt: []" in capsys.readouterr().out

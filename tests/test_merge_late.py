@@ -84,7 +84,8 @@ def test_merge_into_prunes_the_scan_and_refuses_moves(spark, tmp_path):
     touched = merge.merge_into(spark, "merge_plan", source, ["id"], ["status"], str(tmp_path))
     assert [tuple(r) for r in touched.collect()] == [(3, 1)]
     plan = merge._held_rows(spark.table("merge_plan"), touched, "part")._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
+    assert "SubqueryAdaptiveBroadcast" in plan
+    assert "dynamicpruningexpression(true)" not in plan
     for keys, columns in ((["id"], ["part"]), (["part"], ["status"])):
         with pytest.raises(ValueError, match="part"):
             merge.merge_into(spark, "merge_plan", source, keys, columns, str(tmp_path))
