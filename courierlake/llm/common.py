@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
+def first_of_equals(docs: DataFrame) -> DataFrame:
+    """One row per doc_id and text: the one whose other columns, as JSON, have the smallest hash.
+
+    The choice is the same in every run. The rank filter runs before the shuffle as well, so a task sends one row of
+    an id, however many there are.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    place = Window.partitionBy("doc_id", F.md5(F.coalesce(F.col("text"), F.lit(""))), F.isnull("text")).orderBy(
+        F.xxhash64(F.to_json(row)))
+    return (docs.withColumn("_place", F.row_number().over(place)).filter("_place = 1")
+            .select(*(F.col(f"`{c}`") for c in docs.columns)))
+
+
 def running_totals(df: DataFrame, by: list[str], order: list[str], value: str, out: str, folder: str,
                    name: str) -> DataFrame:
     """Add `out`: the sum of `value` over the rows of the same `by` that come before in `order`.

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import components, settle, width, workspace
+from .common import components, first_of_equals, settle, width, workspace
 from .simhash import SEED, near_duplicates
 from .tokens import slices
 
@@ -244,11 +244,12 @@ def compare_groups(least: tuple[int, int], mutual: bool):
 def keep_first_similar(docs: DataFrame, shingle: int = 5, least: tuple[int, int] = (4, 5)) -> DataFrame:
     """The documents less all but one of each group of near copies: the one with the smallest doc_id.
 
-    A document without doc_id stays; of rows that repeat a doc_id one stays.
+    A document without doc_id stays. Rows that repeat a doc_id go or stay together; of those with one text too, the
+    one of the smallest row hash stays.
     """
     found = settle(near_copies(docs, shingle, least), workspace(docs.sparkSession), "copies")
     gone = found.filter("node <> root").select(F.col("node").alias("doc_id")).distinct().hint("merge")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
     if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
         return kept
-    return kept.filter("doc_id is null").unionAll(kept.filter("doc_id is not null").dropDuplicates(["doc_id"]))
+    return kept.filter("doc_id is null").unionAll(first_of_equals(kept.filter("doc_id is not null")))

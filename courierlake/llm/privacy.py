@@ -4,9 +4,11 @@ Base spans come from patterns for e-mail addresses, IP addresses, card and phone
 protected entities. Corpus co-occurrence then tells how much a term reveals an entity: with p(e) the share of word
 positions that hold entity e, and p(e|t) the share of occurrences of term t that stand within `reach` words of it, the
 point-wise mutual information is log2(p(e|t) / p(e)), and its ratio to the entity's information content -log2 p(e) is
-the share of the entity that the term discloses. Terms beyond `disclosed`, seen beside one entity in at least
-`contexts` different surroundings, become spans of kind `term`; sanitising generalises base spans to their kind and
-removes such terms.
+the share of the entity that the term discloses. Terms beyond `disclosed` become spans of kind `term` where p(e|t) is
+also `certain` at its lower confidence limit (Wilson's, one term in 200 above it by chance at the `score` of 2.576).
+Only different surroundings count as evidence for the limit, so copies of a passage make nothing certain: a term that
+always stands beside one entity is certain from its second surroundings on. Sanitising generalises base spans to
+their kind and removes such terms, or generalises them to a label where the caller names one.
 
 Everything is DataFrame functions. Spark has no match positions, so they are sums of the lengths of what lies between
 matches. The window around an entity bounds the pairs of entity and term by the number of words beside it; counts
@@ -127,15 +129,25 @@ def entity_windows(docs: DataFrame, reach: int) -> DataFrame:
         "entity", F.xxhash64("near").alias("context"), F.array_distinct(F.transform("near", term_of)).alias("terms"))
 
 
-def telling_terms(docs: DataFrame, folder: str, reach: int = 8, disclosed: float = 0.9,
-                  contexts: int = 3) -> DataFrame:
+def wilson_limit(share: Column, trials: Column, score: float) -> Column:
+    """Lower confidence limit of a probability that was met as `share` of so many trials."""
+    z = score * score
+    spread = score * F.sqrt((share * (1 - share) + z / (4 * trials)) / trials)
+    return (share + z / (2 * trials) - spread) / (1 + z / trials)
+
+
+def telling_terms(docs: DataFrame, folder: str, reach: int = 8, disclosed: float = 0.9, certain: float = 0.2,
+                  score: float = 2.576) -> DataFrame:
     """(doc_id, term) of every document that holds a term which discloses an entity."""
+    # The limit is highest where a term stands beside its entity only, seen / (seen + score^2): pairs below
+    # `certain` there can't reach it whatever else is counted, and go before anything is joined.
+    reachable = F.col("seen") >= F.lit(certain) * (F.col("seen") + score * score)
     windows = settle(entity_windows(docs, reach), folder, "windows")
     entities = windows.groupBy("entity").agg(F.count("*").alias("n_e"))
     pairs = (windows.select("entity", "context", F.explode("terms").alias("term")).filter("term is not null")
              .groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
              .groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("seen"))
-             .filter(F.col("seen") >= contexts))
+             .filter(reachable))
     pairs = settle(pairs.join(entities, "entity"), folder, "pairs")
     # Occurrences are summed per word before anything is joined; a common word is one row, whatever it stands in.
     said = docs.select("doc_id", F.explode(words(F.col("text"))).alias("word"))
@@ -145,16 +157,18 @@ def telling_terms(docs: DataFrame, folder: str, reach: int = 8, disclosed: float
     forms = settle(forms.select("word", "term", "n"), folder, "forms")
     often = forms.groupBy("term").agg(F.sum("n").alias("n_t"))
     content = -F.log2(F.col("n_e") / F.lit(float(max(total, 1))))
-    share = 1 + F.log2(F.least(F.lit(1.0), F.col("n_et") / F.col("n_t"))) / content
-    telling = pairs.join(often, "term").filter((content > 0) & (share >= disclosed)).select("term").distinct()
+    odds = F.least(F.lit(1.0), F.col("n_et") / F.col("n_t"))
+    share = 1 + F.log2(odds) / content
+    sure = wilson_limit(odds, F.col("seen") / odds, score) >= certain
+    telling = pairs.join(often, "term").filter((content > 0) & (share >= disclosed) & sure).select("term").distinct()
     known = forms.join(telling, "term").select("word", "term")
     return said.join(known, "word").select("doc_id", "term").distinct()
 
 
-def found(docs: DataFrame, reach: int, disclosed: float, contexts: int) -> DataFrame:
+def found(docs: DataFrame, reach: int, disclosed: float, certain: float) -> DataFrame:
     """doc_id, `row` with all columns of docs, `_base` and `_spans`: the base spans and all spans."""
     folder = workspace(docs.sparkSession)
-    told = settle(telling_terms(docs, folder, reach, disclosed, contexts), folder, "telling")
+    told = settle(telling_terms(docs, folder, reach, disclosed, certain), folder, "telling")
     patterns = told.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.concat(
         F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.sort_array(F.collect_set("term")), "|"),
         F.lit(r")(?![\p{L}\p{N}])")).alias("_pattern"))
@@ -168,9 +182,9 @@ def found(docs: DataFrame, reach: int, disclosed: float, contexts: int) -> DataF
         F.array_sort(F.concat("_base", free)))).drop("_id", "_pattern")
 
 
-def find(docs: DataFrame, reach: int = 8, disclosed: float = 0.9, contexts: int = 3) -> DataFrame:
+def find(docs: DataFrame, reach: int = 8, disclosed: float = 0.9, certain: float = 0.2) -> DataFrame:
     """doc_id, the number of base spans of each kind, base_sha256, spans."""
-    rows = found(docs.select("doc_id", "text"), reach, disclosed, contexts)
+    rows = found(docs.select("doc_id", "text"), reach, disclosed, certain)
 
     def count(kind: int) -> Column:
         return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
@@ -180,10 +194,12 @@ def find(docs: DataFrame, reach: int = 8, disclosed: float = 0.9, contexts: int
                        spelled(F.col("_spans")).alias("spans"))
 
 
-def sanitise(docs: DataFrame, reach: int = 8, disclosed: float = 0.9, contexts: int = 3) -> DataFrame:
-    """The documents with base spans generalised to [EMAIL] and the like, and telling terms removed."""
-    rows = found(docs, reach, disclosed, contexts).withColumn("text", F.col("row.text"))
-    labels = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS), F.lit(""))
+def sanitise(docs: DataFrame, reach: int = 8, disclosed: float = 0.9, certain: float = 0.2,
+             term_label: str = "") -> DataFrame:
+    """The documents with base spans generalised to [EMAIL] and the like, and telling terms removed or, with a
+    `term_label` such as "[TERM]", generalised to it."""
+    rows = found(docs, reach, disclosed, certain).withColumn("text", F.col("row.text"))
+    labels = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS), F.lit(term_label))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:

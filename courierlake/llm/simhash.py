@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import components, settle, width, workspace
+from .common import components, first_of_equals, settle, width, workspace
 from .tokens import slices
 
 BITS = 64
@@ -205,13 +205,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket:
 def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """The documents less all but one of each group of near copies: the one with the smallest doc_id.
 
-    A document without doc_id stays; of rows that repeat a doc_id one stays.
+    A document without doc_id stays. Rows that repeat a doc_id go or stay together; of those with one text too, the
+    one of the smallest row hash stays.
     """
     found = settle(near_duplicates(docs, shingle, radius), workspace(docs.sparkSession), "groups")
     # One plan at any size: at scale the ids that go are too many to broadcast.
     gone = found.filter("doc_id <> component_id").select("doc_id").hint("merge")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
     ids = found.filter("doc_id = component_id").agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
     if ids[0] == ids[1]:
         return kept
-    return kept.filter("doc_id is null").unionAll(kept.filter("doc_id is not null").dropDuplicates(["doc_id"]))
+    return kept.filter("doc_id is null").unionAll(first_of_equals(kept.filter("doc_id is not null")))

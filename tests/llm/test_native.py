@@ -2,15 +2,18 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 import plain
 import pytest
+import regex
 
 from test_similar import sets_of
 
 from courierlake.llm import licenses, mixing, privacy, quality, queries, urls
+from courierlake.llm.common import workspace
 
 PYTHON = re.compile("Python|Pandas|Arrow")
 
@@ -255,6 +258,61 @@ def test_terms_that_disclose_an_entity(spark):
     assert got[None] == "email:9:24"
 
 
+def plain_telling(rows, disclosed=0.9, certain=0.2, score=2.576):
+    """(doc_id, term) as the docstring of privacy says, one word at a time."""
+    parts = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+    def term(word):
+        bare = regex.sub(r"^[^\p{L}\p{N}@]+|[^\p{L}\p{N}@]+$", "", word).lower()
+        return bare if regex.fullmatch(r"\p{L}{4,}", bare) else None
+
+    beside, held, said, total = {}, Counter(), Counter(), 0
+    for _, text in rows:
+        total += len(parts(text))
+        said.update(filter(None, map(term, parts(text))))
+        for span in base(text or ""):
+            kind, start, stop = span.split(":")
+            start, stop = int(start), int(stop)
+            near = (*parts(text[max(0, start - 512):start])[::-1][:8], *parts(text[stop:stop + 512])[:8])
+            entity = kind, text[start:stop].lower()
+            held[entity] += 1
+            for t in set(map(term, near)) - {None}:
+                beside.setdefault((entity, t), []).append(near)
+    told = set()
+    for (entity, t), found in beside.items():
+        content, p = -np.log2(held[entity] / total), min(1, len(found) / said[t])
+        trials, z = len(set(found)) / p, score * score
+        limit = (p + z / (2 * trials) - score * np.sqrt((p * (1 - p) + z / (4 * trials)) / trials)) / (1 + z / trials)
+        if content > 0 and 1 + np.log2(p) / content >= disclosed and limit >= certain:
+            told.add(t)
+    return {(i, t) for i, text in rows for t in told & set(map(term, parts(text)))}
+
+
+def test_telling_terms_against_plain(spark, documents):
+    rng = np.random.default_rng(11)
+    rows = telling() + [(1000 + r["doc_id"], r["text"]) for r in documents.collect()]
+    people = [f"name{'abcdefghijklmnop'[n]}{'xyz'[n % 3]}".replace("name", "Surna") for n in range(16)]
+    for i in range(200, 420):
+        who = int(rng.integers(0, 16))
+        text = " ".join(rng.choice(["stone", "house", "rain", "under"], int(rng.integers(3, 30))))
+        mail = f"p{who if rng.random() < who / 16 else int(rng.integers(0, 16))}@mail.example.org"
+        rows.append((i, f"{text} {people[who]} {mail if rng.random() < 0.7 else 'none'} {text}"))
+    # Twice beside one address is enough in two surroundings, copies of one passage are not.
+    rows += [(500, "ask Quellenberg at q@one.example now"), (501, "then Quellenberg wrote from q@one.example")]
+    rows += [(510 + n, "ask Ottersbach at o@two.example now") for n in range(5)]
+    told = privacy.telling_terms(private_rows(spark, [(*r, "", "") for r in rows]), workspace(spark), reach=8)
+    got = {(r["doc_id"], r["term"]) for r in told.collect()}
+    assert got == plain_telling(rows)
+    terms = {t for _, t in got}
+    assert {"quellenberg", "zarbulon"} <= terms and "ottersbach" not in terms
+    assert 0 < len(terms & {p.lower() for p in people}) < 16
+
+
+def test_terms_generalised(spark):
+    got = privacy.sanitise(private_rows(spark, [(*r, "a", "b") for r in telling()]), term_label="[TERM]")
+    assert {r["doc_id"]: r["text"] for r in got.collect()}[66] == "green [TERM], Zarbulons house"
+
+
 def test_sanitise(spark):
     rows = [(*r, "a", "b") for r in telling()] + [(70, None, None, None), (71, "call +1 (555) 010-9999x@y.zz now", "", "")]
     got = privacy.sanitise(private_rows(spark, rows))

@@ -53,6 +53,20 @@ def test_repeated_and_missing_ids_stay_once(texts, odd):
     assert near.keep_first_similar(texts([])).count() == 0
 
 
+def test_repeated_ids_keep_their_texts_and_choose_alike(spark):
+    rows = [(1, "one text of its own", "x"), (1, "another text entirely", "x"), (2, "said twice", "b"), (2, "said twice", "a"),
+            (2, "said twice", None), (None, "said twice", "c"), (None, "said twice", "c")]
+    kept = set()
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, `a.b` string").repartition(3)
+        got = near.keep_first_similar(docs)
+        assert got.columns == docs.columns
+        got = [tuple(r) for r in got.collect()]
+        assert len(got) == 5 and {g[:2] for g in got} == {r[:2] for r in rows}
+        kept.add(tuple(sorted(map(str, got))))
+    assert len(kept) == 1
+
+
 def test_pairs_at_the_limit_share_a_key():
     rng = np.random.default_rng(5)
     met = 0
