@@ -38,6 +38,7 @@ PATTERNS = {
 MARKS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 SPAN = "struct<start:int,kind:int,stop:int>"
 TERM = len(KINDS)  # the number of the kind `term`
+MARKED = 1 << 18  # marks of words; as longs they are at most a few MB
 
 
 def digits(value: Column) -> Column:
@@ -136,6 +137,11 @@ def wilson_limit(share: Column, trials: Column, score: float) -> Column:
     return (share + z / (2 * trials) - spread) / (1 + z / trials)
 
 
+def mark_of(word: Column) -> Column:
+    """One of MARKED numbers, by the word's hash."""
+    return F.pmod(F.xxhash64(word), F.lit(MARKED))
+
+
 def telling_terms(docs: DataFrame, folder: str, reach: int = 8, disclosed: float = 0.9, certain: float = 0.2,
                   score: float = 2.576) -> DataFrame:
     """(doc_id, term) of every document that holds a term which discloses an entity."""
@@ -161,8 +167,12 @@ def telling_terms(docs: DataFrame, folder: str, reach: int = 8, disclosed: float
     share = 1 + F.log2(odds) / content
     sure = wilson_limit(odds, F.col("seen") / odds, score) >= certain
     telling = pairs.join(often, "term").filter((content > 0) & (share >= disclosed) & sure).select("term").distinct()
-    known = forms.join(telling, "term").select("word", "term")
-    return said.join(known, "word").select("doc_id", "term").distinct()
+    known = settle(forms.join(telling, "term").select("word", "term"), folder, "known")
+    # Words whose mark no telling word has go before any shuffle. The marks are few enough for every task at any size
+    # of the corpus; words that share one by chance go in the join.
+    marks = known.select(mark_of(F.col("word")).alias("mark")).distinct()
+    likely = said.join(F.broadcast(marks), mark_of(F.col("word")) == F.col("mark"), "left_semi")
+    return likely.join(known, "word").select("doc_id", "term").distinct()
 
 
 def found(docs: DataFrame, reach: int, disclosed: float, certain: float) -> DataFrame:

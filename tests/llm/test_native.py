@@ -308,6 +308,22 @@ def test_telling_terms_against_plain(spark, documents):
     assert 0 < len(terms & {p.lower() for p in people}) < 16
 
 
+def test_words_of_no_telling_term_are_not_shuffled(spark, monkeypatch):
+    """However many telling words there are, whole texts go through one shuffle only, that of word counts."""
+    monkeypatch.setattr(privacy, "MARKED", 4)  # most words share a mark with a telling one
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        told = privacy.telling_terms(private_rows(spark, [(*r, "", "") for r in telling()]), workspace(spark))
+        assert {(r["doc_id"], r["term"]) for r in told.collect()} == plain_telling(telling())
+        at = [n for n, line in enumerate(plan(told).splitlines()) if re.search("Generate|LeftSemi|Exchange hash", line)]
+        names = [plan(told).splitlines()[n] for n in at]
+        exploded = next(n for n, line in enumerate(names) if "Generate" in line)
+        assert "LeftSemi" in names[exploded - 1], names
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_terms_generalised(spark):
     got = privacy.sanitise(private_rows(spark, [(*r, "a", "b") for r in telling()]), term_label="[TERM]")
     assert {r["doc_id"]: r["text"] for r in got.collect()}[66] == "green [TERM], Zarbulons house"
