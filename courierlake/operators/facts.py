@@ -37,11 +37,15 @@ def fact_orders(orders: DataFrame, drivers: DataFrame | None, restaurants: DataF
 
 def fact_order_items(items: DataFrame, orders: DataFrame, menu: DataFrame | None,
                      calendar: DataFrame | None) -> DataFrame:
-    """One row per line of an order in fact_orders; lines without their order are dropped."""
-    lines = items.join(orders.select("order_id", "order_key"), "order_id")
+    """One row per line of an order in fact_orders; lines without their order are dropped.
+
+    The order's key is that of fact_orders, made again from the order_id: as a digest it would be the largest part of
+    a line in the shuffles behind the join.
+    """
+    lines = items.join(orders.select("order_id"), "order_id")
     lines = with_key(lines, menu, "item_id", "menu_item_key")
     lines = with_date_key(lines, calendar, F.to_date("order_time"))
-    return (lines.withColumn("order_item_key", hash_key("order_item_id"))
+    return (lines.withColumns({"order_item_key": hash_key("order_item_id"), "order_key": hash_key("order_id")})
             .select(*GOLD_COLUMNS["fact_order_items"]))
 
 

@@ -92,10 +92,12 @@ class Given:
         prices = self.table("part").select(F.col("p_partkey").alias("item_id"),
                                            F.col("p_retailprice").alias("item_price"))
         lines = self.table("lineitem").select(
-            F.concat_ws("_item_", "l_orderkey", "l_linenumber").alias("order_item_id"),
-            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("item_id"),
+            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("item_id"), "l_linenumber",
             F.col("l_quantity").alias("quantity"))
-        return lines.join(prices, "item_id").join(times, "order_id")
+        # the id is text: made behind the joins, it is not shuffled with every line
+        return lines.join(prices, "item_id").join(times, "order_id").select(
+            "order_id", "item_id", F.concat_ws("_item_", "order_id", "l_linenumber").alias("order_item_id"),
+            "quantity", "item_price", "order_time")
 
     def bronze_restaurants(self) -> DataFrame:
         nation = self.table("nation").select(F.col("n_nationkey").alias("s_nationkey"),

@@ -128,3 +128,12 @@ def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
     with conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB"}):
         assert lake.replace(hot, "bronze", "bronze_orders") == 30_000
     assert len(glob.glob(f"{tmp_path}/bronze/bronze_orders/v=1/order_date=*/*/*.parquet")) > 1
+
+
+@pytest.mark.parametrize("name, column", [("fact_order_items", "order_key"), ("silver_order_items", "order_item_id")])
+def test_texts_are_made_behind_the_joins(spark, small, name, column):
+    """Digests and ids as text would be most of a line in every shuffle of a join."""
+    lines = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = [n for n, line in enumerate(lines) if f"AS {column}#" in line]
+    joined = [n for n, line in enumerate(lines) if "Join" in line]
+    assert made and joined and max(made) < min(joined)
