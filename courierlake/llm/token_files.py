@@ -49,6 +49,8 @@ def encode_rows(vocabulary: str, end_id: int):
                 names = [n for i, n in enumerate(part.schema.names) if i != at]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(lengths + 1, pa.int64()), lists],
                                                  names=[*names, "n_tokens", "ids"])
+        # The worker waits for its next task beside others: what Arrow keeps of freed memory goes back.
+        pa.default_memory_pool().release_unused()
 
     return encode
 

@@ -7,6 +7,7 @@ distinct words of a slice of texts once and lays the ids out with numpy.
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +29,8 @@ class WordEncoder:
     def __init__(self, path: str, remembered: int = 300_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        # A task has one core: threads of its own would only bring a heap each, in every worker of an executor.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.remembered = remembered

@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter
 
@@ -165,3 +166,20 @@ def test_running_totals_over_a_hot_key(spark):
     for _, part in got.fillna(-1).groupby("k"):
         part = part.sort_values("i")
         assert (part["before"] == part["v"].cumsum() - part["v"]).all()
+
+
+def test_a_waiting_worker_keeps_little(monkeypatch, documents):
+    """No threads beside the task's own, and what Arrow holds of freed memory is given back when a task ends."""
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    tokens.encoder.cache_clear()
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(True)
+
+    rows = documents.select("doc_id", "text").limit(20).toArrow()
+    cut = packing.cut_rows(queries.vocabulary(), 1, 4096, False)
+    monkeypatch.setattr(token_files.pa, "default_memory_pool", lambda: Pool())
+    assert sum(b.num_rows for b in cut(iter(rows.to_batches()))) >= 20
+    assert released == [True] and os.environ["TOKENIZERS_PARALLELISM"] == "false"
