@@ -33,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
@@ -381,23 +382,40 @@ def repeated_runs(said: DataFrame, length: int, window: int, together: int, fold
 
 # ---- removal -------------------------------------------------------------------------------------------------------
 
+def merged_spans(runs: pa.ListArray, length: int) -> tuple[list[int], list[int], list[int]]:
+    """Starts and ends of the spans that runs of starts cover, row by row, and where each row's spans begin.
+
+    All rows are sorted and merged at once: a row's places are moved behind those of the rows before it.
+    """
+    n = len(runs)
+    sizes = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if not sizes.sum():
+        return [], [], [0] * (n + 1)
+    a, b = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in runs.flatten().flatten())
+    room = int(b.max()) + length + 1
+    base = np.repeat(np.arange(n), sizes) * room
+    order = np.argsort(base + a, kind="stable")
+    begin, base = (base + a)[order], base[order]
+    reach = np.maximum.accumulate(base + b[order] + length)
+    first = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1]]))
+    last = np.concatenate([first[1:], [len(begin)]]) - 1
+    at = np.searchsorted(base[first], np.arange(n + 1) * room)
+    return (begin - base)[first].tolist(), (reach - base)[last].tolist(), at.tolist()
+
+
 def remove_spans(length: int, with_text: bool):
     """(doc_id, text, starts) to the digest of what is left, starts being runs of places of repeated strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            start, stop, at = merged_spans(batch.column(2), length)
+            for text, i, j in zip(batch.column(1).to_pylist(), at[:-1], at[1:]):
                 text = text or b""
-                spans: list[list[int]] = []
-                for r in sorted((r["a"], r["b"] + length) for r in runs or ()):
-                    if spans and r[0] <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], r[1])
-                    else:
-                        spans.append(list(r))
-                cuts = [0, *(p for s in spans for p in s), len(text)]
-                left = b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
-                rows.append((len(text), len(text) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left))
+                left = text
+                if i < j:
+                    left = b"".join(text[a:b] for a, b in zip([0, *stop[i:j]], [*start[i:j], len(text)]))
+                rows.append((len(text), len(text) - len(left), j - i, hashlib.sha256(left).hexdigest(), left))
             columns = [pa.array([r[k] for r in rows], t) for k, t in
                        ((0, pa.int64()), (1, pa.int64()), (2, pa.int64()), (3, pa.string()))]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]

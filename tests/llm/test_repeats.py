@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 
 from courierlake.llm import suffixes
@@ -88,3 +89,22 @@ def test_odd_rows(texts, odd):
     by = {r["doc_id"]: r for r in got}
     assert bytes(by[10]["kept"]) == b"" and by[11]["n_removed"] == by[11]["n_bytes"] and by[1]["n_bytes"] == 0
     assert suffixes.remove_repeats(texts([])).count() == 0
+
+
+def test_spans_of_a_batch_are_merged_at_once():
+    """Row by row as a loop would, for rows without runs, runs that touch, and a batch cut out of another."""
+    rng = np.random.default_rng(3)
+    rows = [None if i % 7 == 3 else [{"a": int(a), "b": int(a + rng.integers(0, 4))} for a in rng.integers(0, 300, i % 9)]
+            for i in range(60)]
+    rows += [[{"a": 0, "b": 0}, {"a": 20, "b": 20}, {"a": 41, "b": 41}], []]
+    runs = pa.array(rows, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+    for part, some in ((runs, rows), (runs.slice(5, 40), rows[5:45]), (runs.slice(0, 0), [])):
+        start, stop, at = suffixes.merged_spans(part, 20)
+        for i, row in enumerate(some):
+            want = []
+            for a, b in sorted((r["a"], r["b"] + 20) for r in row or ()):
+                if want and a <= want[-1][1]:
+                    want[-1] = want[-1][0], max(b, want[-1][1])
+                else:
+                    want.append((a, b))
+            assert list(zip(start[at[i]:at[i + 1]], stop[at[i]:at[i + 1]])) == want
