@@ -30,6 +30,38 @@ def test_word_encoder_equals_the_tokenizer(tokenizer, odd, documents):
                 assert flat[starts[i]:starts[i + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_letters_are_encoded_once_whatever_their_case_and_marks(monkeypatch, tokenizer):
+    cores = ["one", "naïve", "straße", "zzxqv"]
+    forms = [c.upper().replace("SS", "ß") + m for c in cores for m in ("", ".", ",", "!?", "$$$", "'", '.")')]
+    forms += [c + m for c in cores for m in ("", "***", "-", "|>")]
+    enc = tokens.WordEncoder(queries.vocabulary())
+    asked = []
+
+    def told(method):
+        def call(words):
+            asked.extend([words] if isinstance(words, str) else words)
+            return method(words)
+        return call
+
+    monkeypatch.setattr(enc, "_model", told(enc._model))
+    monkeypatch.setattr(enc, "_whole", told(enc._whole))
+    for part in (forms[:20], forms[20:], forms):
+        text = " ".join(part)
+        assert enc.ids(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(w for w in asked if any(c.isalpha() for c in w)) == sorted(cores)
+
+
+def test_marks_that_belong_to_a_token_stay_with_their_word(tmp_path, tokenizer):
+    from tokenizers import AddedToken, Tokenizer
+    marked = Tokenizer.from_str(tokenizer.to_str())
+    marked.add_tokens([AddedToken("here!", normalized=False)])
+    marked.save(str(tmp_path / "marked.json"))
+    text = "here here! There! it's <|endoftext|> end<|endoftext|>! |>"
+    want = marked.encode(text, add_special_tokens=False).ids
+    assert want != tokenizer.encode(text, add_special_tokens=False).ids
+    assert tokens.WordEncoder(str(tmp_path / "marked.json")).ids(pa.array([text]))[0].tolist() == want
+
+
 def test_slices_cover_all_rows():
     texts = pa.array(["a" * n for n in (0, 5, 9, 100, 1, 1, 0)] + [None])
     parts = list(tokens.slices(texts, 10))
